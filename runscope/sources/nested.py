@@ -55,10 +55,8 @@ def explode_manifest(documents: DataFrame) -> DataFrame:
     return (
         documents.select(F.from_json("value", schema.MANIFEST).alias("spaces"))
         .select(F.explode("spaces").alias("search_space_id", "datasets"))
-        .select(
-            F.col("search_space_id").cast("int").alias("search_space_id"),
-            F.explode("datasets").cast("int").alias("dataset_id"),
-        )
+        .select("search_space_id", F.explode("datasets").alias("dataset_id"))
+        .select(F.col("search_space_id").cast("int"), F.col("dataset_id").cast("int"))
     )
 
 
