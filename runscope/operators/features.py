@@ -78,3 +78,8 @@ def split_runs(runs: DataFrame, key: str = "run_id", first_hex: str = "cccc") ->
     """Train and test by hash of the run id, 80/20 by default; the same split on any layout."""
     share = in_share(F.col(key), first_hex)
     return runs.where(share), runs.where(~share)
+
+
+def with_part(runs: DataFrame, key: str = "run_id", first_hex: str = "cccc") -> DataFrame:
+    """The same split as a ``part`` column, for uses that need both sides in one scan."""
+    return runs.withColumn("part", F.when(in_share(F.col(key), first_hex), "train").otherwise("test"))

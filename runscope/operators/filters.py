@@ -89,6 +89,13 @@ def in_manifest(runs: DataFrame, manifest: DataFrame, test: bool) -> DataFrame:
     return runs.join(manifest, ["search_space_id", "dataset_id"], kind)
 
 
+def mark_held_out(runs: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Both sides of the manifest in one scan, told apart by ``part``."""
+    listed = manifest.distinct().withColumn("_listed", F.lit(True))
+    marked = runs.join(listed, ["search_space_id", "dataset_id"], "left")
+    return marked.withColumn("part", F.when(F.col("_listed"), "test").otherwise("train")).drop("_listed")
+
+
 def when_known(known: Column, value: Column) -> Column:
     """Score of a candidate with an unknown label is 0."""
     return F.when(known, value).otherwise(F.lit(0.0))

@@ -48,12 +48,17 @@ def profile_vectors(profiles: DataFrame, features: list[str] = PROFILE_FEATURES)
     return filled.withColumn("vec", F.array(*[F.col(f).cast("double") for f in features]))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two arrays, added up in index order; 0 if either has length 0."""
-    total = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
-    dot = total(F.zip_with(a, b, lambda x, y: x * y))
-    norm = lambda x: F.sqrt(total(F.transform(x, lambda v: v * v)))
-    return F.coalesce(F.try_divide(dot, norm(a) * norm(b)), F.lit(0.0))
+def cosine(a: Column, b: Column, width: int) -> Column:
+    """Cosine of two arrays of ``width`` numbers, added up in index order; 0 if either has length 0.
+
+    Written out term by term: higher-order functions would leave generated code.
+    """
+
+    def dot(x: Column, y: Column) -> Column:
+        terms = [F.get(x, F.lit(i)) * F.get(y, F.lit(i)) for i in range(width)]
+        return sum(terms[1:], terms[0])
+
+    return F.coalesce(F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))), F.lit(0.0))
 
 
 # --- array helpers used inside tasks -----------------------------------------
@@ -312,7 +317,7 @@ def cosine_pairs(profiles: DataFrame, positions: list[int], features: list[str]
     )
     asked = chosen.agg(F.collect_list(F.struct(F.col("position").alias("query"), F.col("vec").alias("asked"))).alias("a"))
     return vectors.select(*PROFILE_KEYS, "vec", F.inline(asked.scalar())).select(
-        "query", *PROFILE_KEYS, F.round(cosine(F.col("asked"), F.col("vec")), 6).alias("similarity")
+        "query", *PROFILE_KEYS, F.round(cosine(F.col("asked"), F.col("vec"), len(features)), 6).alias("similarity")
     )
 
 
@@ -321,7 +326,7 @@ def similarity_matrix(profiles: DataFrame, n: int = 20, features: list[str] = PR
     first = profile_vectors(profiles_in_order(profiles, n), features).select("position", "vec")
     row = first.agg(F.collect_list(F.struct(F.col("position").alias("column"), F.col("vec").alias("other"))).alias("a"))
     return first.select(F.col("position").alias("row"), "vec", F.inline(row.scalar())).select(
-        "row", "column", F.round(cosine(F.col("vec"), F.col("other")), 6).alias("similarity")
+        "row", "column", F.round(cosine(F.col("vec"), F.col("other"), len(features)), 6).alias("similarity")
     )
 
 

@@ -224,7 +224,7 @@ def _replay() -> str:
         f"(CAST(d.{c} AS DOUBLE) - e.mean_{c}) * (CAST(d.{c} AS DOUBLE) - e.mean_{c})" for c in _HP
     )
     order = lambda *by: (
-        f"ROW_NUMBER() OVER (PARTITION BY search_space_id ORDER BY {', '.join(by)}, run_id) - 1 AS trial"
+        f"ROW_NUMBER() OVER (PARTITION BY search_space_id ORDER BY {', '.join(by)}, run_id, val_accuracy DESC) - 1 AS trial"
     )
     row = "search_space_id, run_id, CAST(val_accuracy AS DOUBLE) AS value"
     return f"""{_halves()},
@@ -318,6 +318,13 @@ def _scan(condition: str = "TRUE", columns: list[str] | None = None) -> str:
     return _ON_RUNS + f"SELECT {_out(*(columns or _COLUMNS))} FROM runs WHERE {condition}"
 
 
+def _manifest_side(sign: str) -> str:
+    return _ON_RUNS + (
+        f"SELECT search_space_id, {_mean('val_accuracy', 4)} AS avg_acc, COUNT(*) AS runs FROM runs"
+        f" WHERE dataset_id % 10 {sign} 0 GROUP BY search_space_id"
+    )
+
+
 def _variation() -> str:
     return _ON_RUNS + "\nUNION ALL ".join(
         f"SELECT '{c}' AS hp, ROUND(STDDEV_SAMP(CAST(COALESCE({c}, 0) AS DOUBLE)), 6) AS std,"
@@ -365,6 +372,8 @@ def oracle_sql() -> dict[str, str]:
         "split_by_manifest": _ON_RUNS
         + f"SELECT search_space_id, {_mean('val_accuracy', 4)} AS avg_acc, COUNT(*) AS runs,"
         " CASE WHEN dataset_id % 10 = 0 THEN 'test' ELSE 'train' END AS part FROM runs GROUP BY search_space_id, part",
+        "manifest_test_runs": _manifest_side("="),
+        "manifest_train_runs": _manifest_side("<>"),
         "generate_runs": "WITH n AS (SELECT i FROM range((SELECT COUNT(*) FROM lineitem)) AS r(i))\n"
         + "SELECT concat('run_', lpad(CAST(i AS VARCHAR), 7, '0')) AS run_id, "
         + ", ".join(
@@ -554,8 +563,8 @@ def oracle_sql() -> dict[str, str]:
             f"target AS (SELECT run_id, CAST(val_accuracy AS DOUBLE) AS val_accuracy, {_TRANSFER_FILL} FROM runs WHERE search_space_id = 6)",
             f"placed AS (SELECT t.run_id, t.val_accuracy, CAST(MIN({_TRANSFER_GAP}) AS DECIMAL(18,6)) AS distance"
             " FROM target t, pool p GROUP BY ALL)",
-            "ordered AS (SELECT *, ROW_NUMBER() OVER (ORDER BY md5(concat(run_id, ':42')), run_id) AS cold,"
-            " ROW_NUMBER() OVER (ORDER BY distance, run_id) AS warm FROM placed)",
+            "ordered AS (SELECT *, ROW_NUMBER() OVER (ORDER BY md5(concat(run_id, ':42')), run_id, val_accuracy DESC) AS cold,"
+            " ROW_NUMBER() OVER (ORDER BY distance, run_id, val_accuracy DESC) AS warm FROM placed)",
             "result AS (SELECT 6 AS target_space, COUNT(*) FILTER (cold <= 100) AS n_trials,"
             " MAX(val_accuracy) FILTER (cold <= 100) AS cold_best, MAX(val_accuracy) FILTER (warm <= 100) AS warm_best FROM ordered)",
         )

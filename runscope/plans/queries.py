@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from runscope.functions import names
-from runscope.functions.measures import lr_band, speed_label
+from runscope.functions.measures import lr_band, mean, speed_label
 from runscope.operators import (
     features as feat,
     filters as flt,
@@ -129,15 +129,26 @@ def _manifest_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return written_table(nested.explode_manifest(_manifest_documents(spark, sf)), "manifest")
+
+
 @query
 def split_by_manifest(spark, sf):
-    runs = _runs(spark, sf)
-    manifest = written_table(nested.explode_manifest(_manifest_documents(spark, sf)), "manifest")
-    parts = [
-        summ.accuracy_by(flt.in_manifest(runs, manifest, test), "search_space_id").withColumn("part", F.lit(name))
-        for name, test in (("test", True), ("train", False))
-    ]
-    return parts[0].unionByName(parts[1])
+    marked = flt.mark_held_out(_runs(spark, sf), _manifest(spark, sf))
+    return marked.groupBy("search_space_id", "part").agg(
+        mean("val_accuracy", 4).alias("avg_acc"), F.count(F.lit(1)).alias("runs")
+    )
+
+
+@query
+def manifest_test_runs(spark, sf):
+    return summ.accuracy_by(flt.in_manifest(_runs(spark, sf), _manifest(spark, sf), test=True), "search_space_id")
+
+
+@query
+def manifest_train_runs(spark, sf):
+    return summ.accuracy_by(flt.in_manifest(_runs(spark, sf), _manifest(spark, sf), test=False), "search_space_id")
 
 
 @query
@@ -398,9 +409,7 @@ def _decoded(runs: DataFrame) -> DataFrame:
 
 @query
 def split_runs(spark, sf):
-    train, test = feat.split_runs(_runs(spark, sf))
-    keep = ["run_id", "search_space_id", "part"]
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))).select(*keep)
+    return feat.with_part(_runs(spark, sf)).select("run_id", "search_space_id", "part")
 
 
 @query
@@ -433,7 +442,9 @@ def hp_importance(spark, sf):
 
 @query
 def space_surrogates(spark, sf):
-    runs = _runs(spark, sf)
+    path = fresh_path(spark, "runs-by-space")
+    src.write_runs(_runs(spark, sf).select("search_space_id", *HP, "val_accuracy"), path)
+    runs = src.scan_runs(spark, path)
     spaces = sorted(r[0] for r in summ.list_spaces(runs).collect())
     models = surr.space_surrogates(runs, HP, spaces, trees=5, depth=4)
     return surr.space_surrogate_quality(runs, HP, models)
@@ -501,7 +512,7 @@ def transfer_gain(spark, sf):
 @query
 def live_progress(spark, sf):
     schema = _events(spark, sf).schema
-    progress = live.progress_of(spark, sf, schema, "events.parquet", "event_type", "ts", "value")
+    progress = live.progress_of(spark, f"{sf}/events*.parquet", schema, "event_type", "ts", "value")
     return progress.select(
         live.as_utc_wall_time("window_start").alias("window_start"), "event_type", "trials", "best"
     )

@@ -18,8 +18,8 @@ def as_utc_wall_time(instant: str) -> Column:
     return F.expr(f"timestampadd(MICROSECOND, unix_micros({instant}), {_EPOCH})")
 
 
-def stream_records(spark: SparkSession, folder: str, schema: T.StructType, files: str = "*.parquet") -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(folder)
+def stream_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def live_progress(
@@ -67,10 +67,12 @@ def latest(spark: SparkSession, path: str, keys: list[str], values: list[str]) -
     )
 
 
-def progress_of(spark: SparkSession, folder: str, schema: T.StructType, files: str, by: str, ts: str, value: str,
-                window: str = "1 day", delay: str = "1 hour") -> DataFrame:
-    """Stream a folder of records to its end and return the progress by window."""
-    records = stream_records(spark, folder, schema, files)
+def progress_of(
+    spark: SparkSession, path: str, schema: T.StructType, by: str, ts: str, value: str,
+    window: str = "1 day", delay: str = "1 hour",
+) -> DataFrame:
+    """Stream the records below ``path``, a folder or a glob, to their end; return the progress by window."""
+    records = stream_records(spark, path, schema)
     if isinstance(schema[ts].dataType, T.TimestampNTZType):
         records = records.withColumn(ts, as_instant(ts))
     keys = ["window_start", by]
