@@ -18,32 +18,31 @@ ASSEMBLED = [
 MATRIX_COLUMNS = ["run_id", "search_space_id", "dataset_id", "features", "val_accuracy", "optimizer"]
 
 
+def _labels(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values with their counts. Grouped by the value itself, named only afterwards."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return written_table(counts.withColumn("label", F.col("value").cast("string")), "labels")
+
+
 def _numbered(labels: DataFrame, order: list[str | Column]) -> DataFrame:
     """0-based position of every label; long label lists are numbered range by range."""
     numbered = running(labels, [], order, {"position": ("sum", F.lit(1))})
-    return numbered.select("label", (F.col("position") - 1).cast("int").alias("index"))
+    return numbered.select("value", "label", (F.col("position") - 1).cast("int").alias("index"))
 
 
 def alphabetical_labels(df: DataFrame, column: str) -> DataFrame:
-    labels = df.select(F.col(column).cast("string").alias("label")).where("label IS NOT NULL").distinct()
-    return _numbered(written_table(labels, "labels"), ["label"])
+    return _numbered(_labels(df, column), ["label"])
 
 
 def frequency_labels(df: DataFrame, column: str) -> DataFrame:
     """Most frequent label first; equal counts in alphabetical order."""
-    labels = (
-        df.select(F.col(column).cast("string").alias("label"))
-        .where("label IS NOT NULL")
-        .groupBy("label")
-        .agg((-F.count(F.lit(1))).alias("less"))
-    )
-    return _numbered(written_table(labels, "labels"), ["less", "label"])
+    return _numbered(_labels(df, column).withColumn("less", -F.col("n")), ["less", "label"])
 
 
 def encode(df: DataFrame, column: str, labels: DataFrame, output: str) -> DataFrame:
     """Add the index of each label; unknown labels get NULL and no row is lost."""
-    named = labels.select(F.col("label").alias(f"_{output}"), F.col("index").alias(output))
-    return df.join(named, F.col(column).cast("string") == F.col(f"_{output}"), "left").drop(f"_{output}")
+    named = labels.select(F.col("value").alias(f"_{output}"), F.col("index").alias(output))
+    return df.join(named, F.col(column) == F.col(f"_{output}"), "left").drop(f"_{output}")
 
 
 def encode_alphabetical(df: DataFrame, column: str, output: str) -> DataFrame:

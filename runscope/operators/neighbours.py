@@ -21,12 +21,11 @@ The driver sees only the pivots (at most ``MAX_CELLS``) and their statistics.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from runscope.functions.blocks import block_top, distances, matrix, unit
 from runscope.operators.filters import fill_missing_hp
 from runscope.operators.ranking import top_per_group
 from runscope.operators.summaries import PROFILE_FEATURES
@@ -61,62 +60,6 @@ def cosine(a: Column, b: Column, width: int) -> Column:
     return F.coalesce(F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))), F.lit(0.0))
 
 
-# --- array helpers used inside tasks -----------------------------------------
-
-
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack(vectors.to_numpy()).astype("float64")
-
-
-def _norms(m: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(m))
-    for j in range(m.shape[1]):
-        total += m[:, j] * m[:, j]
-    return np.sqrt(total)
-
-
-def _unit(m: np.ndarray) -> np.ndarray:
-    norms = _norms(m)
-    return m / np.where(norms > 0, norms, 1.0)[:, None]
-
-
-def _distances(unit: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (unit @ pivots.T)))
-
-
-def _cosines(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """Row-wise cosines in index order: the same value whatever block a pair meets in."""
-    dot = np.zeros(len(a))
-    for j in range(a.shape[1]):
-        dot += a[:, j] * b[:, j]
-    length = na * nb
-    return np.divide(dot, length, out=np.zeros(len(a)), where=length > 0)
-
-
-def _block_top(queries: pd.DataFrame, candidates: pd.DataFrame, keys: list[str], k: int) -> Iterator[pd.DataFrame]:
-    q, c = _matrix(queries["vec"]), _matrix(candidates["vec"])
-    qn, cn = _norms(q), _norms(c)
-    qu, cu = _unit(q), _unit(c)
-    step = max(1, 1_000_000 // len(c))
-    for at in range(0, len(q), step):
-        near = qu[at : at + step] @ cu.T
-        if len(c) > k:
-            # A matrix product may differ from the exact sum in the last bits, so
-            # keep a margin around the k-th value and settle the order exactly.
-            kth = np.partition(near, len(c) - k, axis=1)[:, len(c) - k]
-            rows, cols = np.nonzero(near >= kth[:, None] - 1e-9)
-        else:
-            rows, cols = np.nonzero(np.ones_like(near, dtype=bool))
-        rows = rows + at
-        found = candidates[keys].iloc[cols].reset_index(drop=True)
-        found["similarity"] = _cosines(q[rows], c[cols], qn[rows], cn[cols])
-        found["_row"] = rows
-        found = found.sort_values(["_row", "similarity", *keys], ascending=[True, False, *[True] * len(keys)])
-        found = found.groupby("_row", sort=False).head(k)
-        found["vec"] = queries["vec"].iloc[found["_row"].to_numpy()].to_numpy()
-        yield found[["vec", *keys, "similarity"]]
-
-
 # --- the join -----------------------------------------------------------------
 
 
@@ -131,7 +74,7 @@ def _search(queries: DataFrame, candidates: DataFrame, keys: list[str], k: int)
     def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if len(q) == 0 or len(c) == 0:
             return pd.DataFrame(columns=schema.names, dtype=object)
-        return pd.concat(_block_top(q, c, keys, k), ignore_index=True)
+        return pd.concat(block_top(q, c, keys, k), ignore_index=True)
 
     partial = queries.groupBy(group).cogroup(candidates.groupBy(group)).applyInPandas(compare, schema)
     return top_per_group(partial, ["vec"], [F.desc("similarity"), *keys], k, "_place")
@@ -157,13 +100,13 @@ def _many_cells(queries: DataFrame, candidates: DataFrame, keys: list[str], k: i
     length = F.aggregate("vec", F.lit(0.0), lambda s, v: s + v * v)
     directed = candidates.where(length > 0)
     sample = directed.select("vec").distinct().orderBy(F.xxhash64("vec"), "vec").limit(cells)
-    pivots = _unit(_matrix(sample.toPandas()["vec"]))
+    pivots = unit(matrix(sample.toPandas()["vec"]))
     m = len(pivots)
     between = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots.T)))
 
     @F.pandas_udf("cell int, dist double")
     def place(vec: pd.Series) -> pd.DataFrame:
-        d = _distances(_unit(_matrix(vec)), pivots)
+        d = distances(unit(matrix(vec)), pivots)
         cell = d.argmin(axis=1)
         return pd.DataFrame({"cell": cell.astype("int32"), "dist": d[np.arange(len(d)), cell]})
 
@@ -191,7 +134,7 @@ def _many_cells(queries: DataFrame, candidates: DataFrame, keys: list[str], k: i
 
     @F.pandas_udf("array<int>")
     def destinations(vec: pd.Series) -> pd.Series:
-        d = _distances(_unit(_matrix(vec)), pivots)
+        d = distances(unit(matrix(vec)), pivots)
         home = d.argmin(axis=1)
         reach = wanted[None, :] & (d - radius[None, :m] <= bound[None, :] + _SLACK)
         gap = between[home]

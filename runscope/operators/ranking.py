@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from runscope.functions.measures import whole_millionths
+from runscope.session import written_table
+
 TIEBREAK = ["run_id", "learning_rate", "weight_decay", "epochs", "dropout"]
 
 
@@ -17,8 +20,30 @@ def top_per_group(df: DataFrame, by: list[str], order: list[str | Column], k: in
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
+def top_per_group_by_step(
+    df: DataFrame, by: list[str], step: Column, order: list[str | Column], k: int, rank: str = "rank"
+) -> DataFrame:
+    """The same, for large inputs: most rows are put aside before anything is sorted.
+
+    ``step`` is a whole number that never falls along the order and takes few values.
+    Rows are counted by step, which combines before the shuffle. The last step needed
+    to fill each group's ``k`` places is written as a small table, and a second scan
+    keeps the rows up to it: all of the top ``k``, plus ties within the last step.
+    """
+    step = F.coalesce(step.cast("bigint"), F.lit(-(2**62)))  # NULL sorts first
+    counts = df.groupBy(*by, step.alias("_step")).agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy(*by).orderBy("_step").rowsBetween(W.unboundedPreceding, -1)
+    needed = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where(F.col("_before") < k)
+    last = needed.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(F.max("_step").alias("_last"))
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    kept = df.join(written_table(last, "last-steps"), same).where(step <= F.col("_last"))
+    return top_per_group(kept.select(*df.columns), by, order, k, rank)
+
+
 def top_runs_per_space(runs: DataFrame, k: int = 3) -> DataFrame:
-    return top_per_group(runs, ["search_space_id"], [F.desc("val_accuracy"), *TIEBREAK], k)
+    return top_per_group_by_step(
+        runs, ["search_space_id"], -whole_millionths(F.col("val_accuracy")), [F.desc("val_accuracy"), *TIEBREAK], k
+    )
 
 
 def source_spaces(runs: DataFrame, target: int, n_spaces: int = 3) -> DataFrame:

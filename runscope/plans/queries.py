@@ -396,9 +396,11 @@ _on_runs("feature_matrix", lambda r: _vector_columns(feat.feature_matrix(r)))
 
 
 def _encoded_by_frequency(runs: DataFrame) -> DataFrame:
+    coded = runs
     for column, output in feat.INDEXED.items():
-        runs = feat.encode_by_frequency(runs, column, output)
-    return runs.select("run_id", *feat.INDEXED, *feat.INDEXED.values())
+        # Labels come from the plain runs, not from the runs joined so far.
+        coded = feat.encode(coded, column, feat.frequency_labels(runs, column), output)
+    return coded.select("run_id", *feat.INDEXED, *feat.INDEXED.values())
 
 
 def _decoded(runs: DataFrame) -> DataFrame:
@@ -427,9 +429,9 @@ def surrogate_quality(spark, sf):
 def fit_surrogate(spark, sf):
     """The surrogate of the training settings, judged on the rows it was trained on."""
     labels_in = {"optimizer": "optimizer_enc", "search_space_id": "space_enc"}
-    runs = _runs(spark, sf)
+    plain = runs = _runs(spark, sf)
     for column, output in labels_in.items():
-        runs = feat.encode_alphabetical(runs, column, output)
+        runs = feat.encode(runs, column, feat.alphabetical_labels(plain, column), output)
     inputs = [*SETTINGS, *labels_in.values()]
     model = surr.fit_surrogate(runs, inputs, trees=TREES)
     return surr.predict(model, runs, inputs).select("run_id", "val_accuracy", "prediction")
