@@ -42,20 +42,44 @@ def cosines(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.
     return np.divide(dot, length, out=np.zeros(len(a)), where=length > 0)
 
 
-def block_top(queries: pd.DataFrame, candidates: pd.DataFrame, keys: list[str], k: int) -> Iterator[pd.DataFrame]:
+# A matrix product may differ from the sum in index order by far less than this.
+_MARGIN = 1e-9
+
+
+def _close_pairs(qu: np.ndarray, cu: np.ndarray, k: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that may be among the k nearest of a query, by fast but inexact products.
+
+    The candidates pass in slices. The k-th best value so far rises quickly, so later
+    slices are mostly put aside after one comparison per row.
+    """
+    best = np.full((len(qu), k), -np.inf)  # column 0 holds the k-th best value
+    rows, cols, values = [], [], []
+    for at in range(0, len(cu), width):
+        near = qu @ cu[at : at + width].T
+        hit = np.nonzero(near.max(axis=1) >= best[:, 0] - _MARGIN)[0]
+        if len(hit) == 0:
+            continue
+        near = near[hit]
+        both = np.concatenate([best[hit], near], axis=1)
+        best[hit] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+        r, c = np.nonzero(near >= best[hit][:, :1] - _MARGIN)
+        rows.append(hit[r])
+        cols.append(c + at)
+        values.append(near[r, c])
+    rows, cols, values = np.concatenate(rows), np.concatenate(cols), np.concatenate(values)
+    kept = values >= best[rows, 0] - _MARGIN
+    return rows[kept], cols[kept]
+
+
+def block_top(
+    queries: pd.DataFrame, candidates: pd.DataFrame, keys: list[str], k: int, size: int = 1024
+) -> Iterator[pd.DataFrame]:
+    """The k nearest candidates of every query in a block; ties go to the lower keys."""
     q, c = matrix(queries["vec"]), matrix(candidates["vec"])
     qn, cn = norms(q), norms(c)
     qu, cu = unit(q), unit(c)
-    step = max(1, 1_000_000 // len(c))
-    for at in range(0, len(q), step):
-        near = qu[at : at + step] @ cu.T
-        if len(c) > k:
-            # A matrix product may differ from the exact sum in the last bits, so
-            # keep a margin around the k-th value and settle the order exactly.
-            kth = np.partition(near, len(c) - k, axis=1)[:, len(c) - k]
-            rows, cols = np.nonzero(near >= kth[:, None] - 1e-9)
-        else:
-            rows, cols = np.nonzero(np.ones_like(near, dtype=bool))
+    for at in range(0, len(q), size):
+        rows, cols = _close_pairs(qu[at : at + size], cu, k, size)
         rows = rows + at
         found = candidates[keys].iloc[cols].reset_index(drop=True)
         found["similarity"] = cosines(q[rows], c[cols], qn[rows], cn[cols])

@@ -6,11 +6,11 @@ The exact k nearest of every row are found without forming all pairs:
    k + 1 of them by key can ever be chosen, and one search serves them all. A group
    of copies, however large, shrinks to k + 1 candidates and one query.
 2. Vectors are scaled to length 1, where a high cosine is a short distance, and
-   every vector joins the cell of its nearest pivot. The distances of pivots and
-   cell members bound the k-th neighbour distance of each cell. By the triangle
-   inequality a candidate travels only to the cells it can matter to (the pivot
-   scheme of Lu et al., "Efficient Processing of k Nearest Neighbor Joins using
-   MapReduce", VLDB 2012).
+   every vector joins the cell of its nearest pivot. A query first meets the
+   candidates of its own cell. The k-th similarity found there limits how far away a
+   better candidate can be, and by the triangle inequality most other cells lie
+   farther: the query travels only to the rest (pivots and bounds as in Lu et al.,
+   "Efficient Processing of k Nearest Neighbor Joins using MapReduce", VLDB 2012).
 3. Inside a cell, queries and candidates are dealt into blocks of limited size. One
    task compares one block of each and returns k rows per query, so a crowded cell
    becomes many small tasks.
@@ -34,7 +34,7 @@ from runscope.session import written_table
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 8192
 MAX_CELLS = 1024
-ROWS_PER_CELL = 8192
+ROWS_PER_CELL = 1024
 PROFILE_KEYS = ["search_space_id", "dataset_id"]
 
 # Far above the rounding error of a distance, far below any gap that matters.
@@ -64,19 +64,20 @@ def cosine(a: Column, b: Column, width: int) -> Column:
 
 
 def _search(queries: DataFrame, candidates: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """Compare the blocks that share (cell, query block, candidate block); merge the lists."""
+    """Compare the blocks that share (cell, query block, candidate block): k rows per query and block."""
     group = ["_cell", "_qb", "_cb"]
     fields = [f for f in candidates.schema if f.name in keys]
-    schema = T.StructType(
-        [queries.schema["vec"], *fields, T.StructField("similarity", T.DoubleType())]
-    )
+    schema = T.StructType([queries.schema["vec"], *fields, T.StructField("similarity", T.DoubleType())])
 
     def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if len(q) == 0 or len(c) == 0:
             return pd.DataFrame(columns=schema.names, dtype=object)
         return pd.concat(block_top(q, c, keys, k), ignore_index=True)
 
-    partial = queries.groupBy(group).cogroup(candidates.groupBy(group)).applyInPandas(compare, schema)
+    return queries.groupBy(group).cogroup(candidates.groupBy(group)).applyInPandas(compare, schema)
+
+
+def _merged(partial: DataFrame, keys: list[str], k: int) -> DataFrame:
     return top_per_group(partial, ["vec"], [F.desc("similarity"), *keys], k, "_place")
 
 
@@ -87,12 +88,26 @@ def _dealt(df: DataFrame, own: str, other: str, own_blocks: Column, other_blocks
     )
 
 
-def _one_cell(queries: DataFrame, candidates: DataFrame, keys: list[str], k: int, n_q: int, n_c: int,
-              query_block: int, candidate_block: int) -> DataFrame:
-    qb, cb = F.lit(max(1, -(-n_q // query_block))), F.lit(max(1, -(-n_c // candidate_block)))
-    q = _dealt(queries.withColumn("_cell", F.lit(0)), "_qb", "_cb", qb, cb, F.col("vec"))
-    c = _dealt(candidates.withColumn("_cell", F.lit(0)), "_cb", "_qb", cb, qb, F.struct(*keys))
-    return _search(q, c, keys, k)
+def _blocks(counts: list[int], size: int) -> Column:
+    """Number of blocks of the row's cell."""
+    return F.element_at(F.array(*[F.lit(max(1, -(-int(n) // size))) for n in counts]), F.col("_cell") + 1)
+
+
+def _search_cells(queries: DataFrame, candidates: DataFrame, keys: list[str], k: int, n_q: list[int], n_c: list[int],
+                  query_block: int, candidate_block: int) -> DataFrame:
+    qb, cb = _blocks(n_q, query_block), _blocks(n_c, candidate_block)
+    return _search(
+        _dealt(queries.select("vec", "_cell"), "_qb", "_cb", qb, cb, F.col("vec")),
+        _dealt(candidates.select(*keys, "vec", "_cell"), "_cb", "_qb", cb, qb, F.struct(*keys)),
+        keys,
+        k,
+    )
+
+
+def _per_cell(df: DataFrame, cells: int, *aggregates: Column) -> list[tuple]:
+    """Counts and other figures of every cell; at most ``MAX_CELLS`` rows."""
+    rows = {r[0]: tuple(r[1:]) for r in df.groupBy("_cell").agg(F.count(F.lit(1)), *aggregates).collect()}
+    return [rows.get(i, (0, *[0.0] * len(aggregates))) for i in range(cells)]
 
 
 def _many_cells(queries: DataFrame, candidates: DataFrame, keys: list[str], k: int, cells: int,
@@ -102,7 +117,7 @@ def _many_cells(queries: DataFrame, candidates: DataFrame, keys: list[str], k: i
     sample = directed.select("vec").distinct().orderBy(F.xxhash64("vec"), "vec").limit(cells)
     pivots = unit(matrix(sample.toPandas()["vec"]))
     m = len(pivots)
-    between = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots.T)))
+    between = distances(pivots, pivots)
 
     @F.pandas_udf("cell int, dist double")
     def place(vec: pd.Series) -> pd.DataFrame:
@@ -110,65 +125,70 @@ def _many_cells(queries: DataFrame, candidates: DataFrame, keys: list[str], k: i
         cell = d.argmin(axis=1)
         return pd.DataFrame({"cell": cell.astype("int32"), "dist": d[np.arange(len(d)), cell]})
 
+    housed = written_table(
+        directed.select(*keys, "vec", place("vec").alias("_at")).select(
+            *keys, "vec", F.col("_at.cell").alias("_cell"), F.col("_at.dist").alias("_dist")
+        ),
+        "housed-candidates",
+    )
     # Cell m is for queries of length 0: all similarities are 0, so the first keys win.
-    placed = queries.withColumn("_at", place("vec")).select(
-        "vec", F.when(length > 0, F.col("_at.cell")).otherwise(m).alias("_cell"), F.col("_at.dist").alias("_dist")
+    placed = written_table(
+        queries.select("vec", F.when(length > 0, place("vec")["cell"]).otherwise(m).alias("_cell")), "placed-queries"
     )
-    placed = written_table(placed, "placed-queries")
-    stats = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_dist").alias("r")).collect()
-    n_q, radius = np.zeros(m + 1, dtype="int64"), np.zeros(m + 1)
-    for s in stats:
-        n_q[s["_cell"]], radius[s["_cell"]] = s["n"], s["r"]
-
-    at = directed.select(*keys, "vec", place("vec").alias("_at"))
-    nearest = top_per_group(
-        at.select("_at.cell", "_at.dist", *keys), ["cell"], ["dist", *keys], k, "_n"
-    ).collect()
-    bound = np.full(m, np.inf)
-    if len(nearest) >= k:
-        home = np.array([r["cell"] for r in nearest])
-        dist = np.array([r["dist"] for r in nearest])
-        for i in range(m):
-            bound[i] = radius[i] + np.partition(between[i, home] + dist, k - 1)[k - 1]
-    wanted = n_q[:m] > 0
+    figures = _per_cell(housed, m, F.max("_dist"))
+    held, radius = np.array([f[0] for f in figures]), np.array([f[1] for f in figures])
+
+    # First every query meets its own cell and the few candidates of length 0.
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+    at_home = (
+        housed.select(*keys, "vec", "_cell")
+        .unionByName(candidates.where(length == 0).select(*keys, "vec", everywhere.alias("_cell")))
+        .unionByName(candidates.orderBy(*keys).limit(k).select(*keys, "vec", F.lit(m).alias("_cell")))
+    )
+    n_home = [int(n) + k for n in held] + [k]
+    n_placed = [f[0] for f in _per_cell(placed, m + 1)]
+    first = _search_cells(placed, at_home, keys, k, n_placed, n_home, query_block, candidate_block)
+    first = written_table(_merged(first, keys, k).drop("_place"), "home-neighbours")
 
+    # The k-th similarity found at home limits how far away a better one can be.
     @F.pandas_udf("array<int>")
-    def destinations(vec: pd.Series) -> pd.Series:
+    def visits(vec: pd.Series, kth: pd.Series) -> pd.Series:
         d = distances(unit(matrix(vec)), pivots)
         home = d.argmin(axis=1)
-        reach = wanted[None, :] & (d - radius[None, :m] <= bound[None, :] + _SLACK)
+        row = np.arange(len(d))
+        # Without k neighbours at home: enough candidates lie within this distance.
+        outer = np.where(held > 0, d + radius, np.inf)
+        order = outer.argsort(axis=1)
+        enough = (held[order].cumsum(axis=1) >= k).argmax(axis=1)
+        reach = np.where(held.sum() >= k, outer[row, order[row, enough]], np.inf)
+        known = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * kth.to_numpy(dtype="float64")))
+        reach = np.fmin(reach, known)[:, None] + _SLACK
         gap = between[home]
         plane = np.divide(
-            d * d - d[np.arange(len(d)), home][:, None] ** 2, 2.0 * gap,
-            out=np.full_like(d, -np.inf), where=gap > _SLACK,
+            d * d - d[row, home][:, None] ** 2, 2.0 * gap, out=np.full_like(d, -np.inf), where=gap > _SLACK
         )
-        reach &= plane <= bound[None, :] + _SLACK
-        return pd.Series([np.nonzero(row)[0].astype("int32") for row in reach])
-
-    lengthless = candidates.where(length == 0)
-    everywhere = F.array(*[F.lit(int(i)) for i in np.nonzero(wanted)[0]]).cast("array<int>")
-    first = candidates.orderBy(*keys).limit(k).select(*keys, "vec", F.lit(m).alias("_cell"))
-    routed = (
-        directed.select(*keys, "vec", F.explode(destinations("vec")).alias("_cell"))
-        .unionByName(lengthless.select(*keys, "vec", F.explode(everywhere).alias("_cell")))
-        .unionByName(first)
+        go = (held > 0) & (d - radius <= reach) & (plane <= reach)
+        go[row, home] = False
+        return pd.Series([np.nonzero(g)[0].astype("int32") for g in go])
+
+    limits = first.groupBy("vec").agg(
+        F.when(F.count(F.lit(1)) >= k, F.min("similarity")).alias("_kth")
     )
-    routed = written_table(routed, "routed-candidates")
-    n_c = np.zeros(m + 1, dtype="int64")
-    for s in routed.groupBy("_cell").count().collect():
-        n_c[s["_cell"]] = s["count"]
+    travelling = placed.where(F.col("_cell") < m).join(limits, "vec", "left")
+    sent = written_table(travelling.select("vec", F.explode(visits("vec", "_kth")).alias("_cell")), "sent-queries")
+    n_sent = [f[0] for f in _per_cell(sent, m)]
+    second = _search_cells(sent, housed, keys, k, n_sent, list(held), query_block, candidate_block)
+    return _merged(first.unionByName(second), keys, k)
 
-    def blocks(counts: np.ndarray, size: int) -> Column:
-        per_cell = [int(max(1, -(-int(n) // size))) for n in counts]
-        return F.element_at(F.array(*[F.lit(b) for b in per_cell]), F.col("_cell") + 1)
 
-    qb, cb = blocks(n_q, query_block), blocks(n_c, candidate_block)
-    return _search(
-        _dealt(placed.select("vec", "_cell"), "_qb", "_cb", qb, cb, F.col("vec")),
-        _dealt(routed, "_cb", "_qb", cb, qb, F.struct(*keys)),
-        keys,
-        k,
+def _one_cell(queries: DataFrame, candidates: DataFrame, keys: list[str], k: int, n_q: int, n_c: int,
+              query_block: int, candidate_block: int) -> DataFrame:
+    here = F.lit(0).alias("_cell")
+    found = _search_cells(
+        queries.select("vec", here), candidates.select(*keys, "vec", here), keys, k, [n_q], [n_c],
+        query_block, candidate_block,
     )
+    return _merged(found, keys, k)
 
 
 def nearest(
@@ -194,7 +214,7 @@ def nearest(
     distinct = queries.select("vec").distinct()
     n_c, n_q = candidates.count(), distinct.count()
     cells = min(MAX_CELLS, -(-n_c // rows_per_cell))
-    if cells <= 1:
+    if n_c <= candidate_block:
         found = _one_cell(distinct, candidates, keys, wide, n_q, n_c, query_block, candidate_block)
     else:
         found = _many_cells(distinct, candidates, keys, wide, cells, query_block, candidate_block)

@@ -65,7 +65,7 @@ def test_nearest_equals_all_pairs(spark, rows, sizes):
 def test_fewer_rows_than_k(spark):
     rows = continuous(3, 4)
     assert found(near.nearest(table(spark, rows), ["id"], 5)) == brute(rows, 5)
-    assert found(near.nearest(table(spark, rows), ["id"], 5, rows_per_cell=1)) == brute(rows, 5)
+    assert found(near.nearest(table(spark, rows), ["id"], 5, rows_per_cell=1, candidate_block=1)) == brute(rows, 5)
 
 
 def test_some_queries_only(spark):
@@ -75,8 +75,8 @@ def test_some_queries_only(spark):
     assert got == {r for r in brute(rows, 2) if r[0] < 7}
 
 
-def test_routing_prunes_candidates(spark):
-    """Far-apart bundles: a candidate must not be sent to every cell."""
+def test_queries_visit_few_cells(spark):
+    """Far-apart bundles: a query must not be sent to every cell."""
     rng = random.Random(6)
     rows = []
     for i in range(400):
@@ -87,8 +87,8 @@ def test_routing_prunes_candidates(spark):
 
     def spy(df, label):
         out = original(df, label)
-        if label == "routed-candidates":
-            sent.append((out.count(), out.select("_cell").distinct().count()))
+        if label == "sent-queries":
+            sent.append(out.count())
         return out
 
     near.written_table = spy
@@ -97,8 +97,8 @@ def test_routing_prunes_candidates(spark):
     finally:
         near.written_table = original
     assert got == brute(rows, 3)
-    (copies, cells), = sent
-    assert copies < 0.7 * 400 * cells
+    cells = 10  # 400 candidates, 40 per cell
+    assert sum(sent) < 0.5 * 400 * (cells - 1)
 
 
 def test_plan_has_no_cross_join(spark, capsys):
