@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from runscope.functions.measures import whole_millionths
 from runscope.session import written_table
 
+PARTS = 64
 TIEBREAK = ["run_id", "learning_rate", "weight_decay", "epochs", "dropout"]
 
 
@@ -14,8 +15,19 @@ def top_per_group(df: DataFrame, by: list[str], order: list[str | Column], k: in
     """The first ``k`` rows of every group.
 
     Spark limits each group inside every task before the shuffle, so a hot group
-    sends at most ``k`` rows per task.
+    sends at most ``k`` rows per task. It does so up to a threshold on ``k``; above it,
+    a first ranking within ``PARTS`` parts of each group does the same by hand.
     """
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k > limit:
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(PARTS))
+        in_part = W.partitionBy(*by, "_part").orderBy(*order)
+        df = (
+            df.withColumn("_part", part)
+            .withColumn(rank, F.row_number().over(in_part))
+            .where(F.col(rank) <= k)
+            .drop("_part", rank)
+        )
     window = W.partitionBy(*by).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 

@@ -13,9 +13,13 @@ def _runs() -> Column:
     return F.count(F.lit(1))
 
 
-def dataset_profiles(runs: DataFrame, min_runs: int = 10) -> DataFrame:
-    """One profile per (space, dataset) with at least ``min_runs`` runs, best first."""
-    return (
+def dataset_profiles(runs: DataFrame, min_runs: int = 10, ordered: bool = True) -> DataFrame:
+    """One profile per (space, dataset) with at least ``min_runs`` runs, best first.
+
+    The order costs one more shuffle of the profiles; leave it out where they feed
+    another operator.
+    """
+    profiles = (
         runs.groupBy("search_space_id", "dataset_id")
         .agg(
             _runs().alias("n_runs"),
@@ -25,8 +29,8 @@ def dataset_profiles(runs: DataFrame, min_runs: int = 10) -> DataFrame:
             *[mean(f"hp_{j}", 4).alias(f"avg_hp{j}") for j in range(4)],
         )
         .where(F.col("n_runs") >= min_runs)
-        .orderBy(F.desc("best_acc"), "search_space_id", "dataset_id")
     )
+    return profiles.orderBy(F.desc("best_acc"), "search_space_id", "dataset_id") if ordered else profiles
 
 
 def top_config_profile(runs: DataFrame, threshold: float = 0.95) -> DataFrame:

@@ -1,10 +1,10 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from runscope.operators import running as run
-from runscope.operators.ranking import top_runs_per_space, warm_start_pool
+from runscope.operators.ranking import TIEBREAK, top_per_group, top_per_group_by_step, top_runs_per_space, warm_start_pool
 
 ORDER = ["ts", "event_id"]
 
@@ -86,13 +86,40 @@ def test_daily_growth(spark):
     assert [(r["records"], r["total_records"]) for r in found] == [(2, 2), (1, 3)]
 
 
+@pytest.mark.parametrize("k", [1, 5, 1500])
+def test_top_k_forms_agree_on_a_hot_group(skewed, k):
+    order = [F.desc_nulls_last("value"), "event_id"]
+    plain = skewed.withColumn("rank", F.row_number().over(W.partitionBy("method").orderBy(*order))).where(F.col("rank") <= k)
+    want = {(r["method"], r["event_id"], r["rank"]) for r in plain.collect()}
+    forms = [
+        top_per_group(skewed, ["method"], order, k),
+        top_per_group_by_step(skewed, ["method"], F.coalesce(-F.floor(F.col("value") * 10), F.lit(99)), order, k),
+        top_per_group_by_step(skewed, ["method"], F.lit(0), order, k),
+    ]
+    for form in forms:
+        assert {(r["method"], r["event_id"], r["rank"]) for r in form.collect()} == want
+
+
+def test_top_k_keeps_null_groups_and_null_steps(spark):
+    df = spark.createDataFrame([(None, 1, 3), (None, 2, None), ("a", 3, 1)], "g string, id int, v int")
+    found = top_per_group_by_step(df, ["g"], F.col("v"), ["v", "id"], 1).collect()
+    assert {(r["g"], r["id"]) for r in found} == {(None, 2), ("a", 3)}
+
+
 def test_top_runs_limit_each_space_before_the_shuffle(runs, capsys):
-    top_runs_per_space(runs).explain()
+    top_per_group(runs, ["search_space_id"], [F.desc("val_accuracy"), *TIEBREAK], 3).explain()
     plan = capsys.readouterr().out
     partial, exchange = plan.index("Partial"), plan.index("Exchange")
     assert "WindowGroupLimit" in plan and exchange < partial  # printed from the root down
 
 
+def test_top_runs_per_space(runs):
+    found = top_runs_per_space(runs).collect()
+    best = {r[0]: r[1] for r in runs.groupBy("search_space_id").agg(F.max("val_accuracy")).collect()}
+    assert len(found) == 3 * len(best)
+    assert {r["search_space_id"]: r["val_accuracy"] for r in found if r["rank"] == 1} == best
+
+
 def test_warm_start_pool_skips_the_target(runs):
     found = warm_start_pool(runs, target=1, n_spaces=3, k=3).collect()
     assert len(found) == 9 and sorted({r["search_space_id"] for r in found}) == [0, 2, 3]
