@@ -103,8 +103,8 @@ def _near(k: int, condition: str = _DIFFERENT, queries: str = "TRUE") -> str:
   SELECT * FROM (
     SELECT a.search_space_id, a.dataset_id, b.search_space_id AS similar_search_space_id,
       b.dataset_id AS similar_dataset_id, b.own_best AS similar_best, {_cosine('a', 'b')} AS similarity,
-      ROW_NUMBER() OVER (PARTITION BY a.search_space_id, a.dataset_id
-        ORDER BY {_cosine('a', 'b')} DESC, b.search_space_id, b.dataset_id) AS rank
+      CAST(ROW_NUMBER() OVER (PARTITION BY a.search_space_id, a.dataset_id
+        ORDER BY {_cosine('a', 'b')} DESC, b.search_space_id, b.dataset_id) AS INTEGER) AS rank
     FROM vectors a JOIN vectors b ON {condition} WHERE {queries})
   WHERE rank <= {k})"""
 
@@ -224,7 +224,7 @@ def _replay() -> str:
         f"(CAST(d.{c} AS DOUBLE) - e.mean_{c}) * (CAST(d.{c} AS DOUBLE) - e.mean_{c})" for c in _HP
     )
     order = lambda *by: (
-        f"ROW_NUMBER() OVER (PARTITION BY search_space_id ORDER BY {', '.join(by)}, run_id, val_accuracy DESC) - 1 AS trial"
+        f"CAST(ROW_NUMBER() OVER (PARTITION BY search_space_id ORDER BY {', '.join(by)}, run_id, val_accuracy DESC) - 1 AS INTEGER) AS trial"
     )
     row = "search_space_id, run_id, CAST(val_accuracy AS DOUBLE) AS value"
     return f"""{_halves()},
@@ -344,8 +344,8 @@ SELECT hp, ROUND(importance, 6) AS importance, ROUND(SUM(importance) OVER w, 6)
 FROM shares WINDOW w AS (ORDER BY importance DESC, hp ROWS UNBOUNDED PRECEDING)"""
 
 
-_TOP = """ROW_NUMBER() OVER (PARTITION BY search_space_id
-  ORDER BY val_accuracy DESC, run_id, learning_rate, weight_decay, epochs, dropout) AS rank"""
+_TOP = """CAST(ROW_NUMBER() OVER (PARTITION BY search_space_id
+  ORDER BY val_accuracy DESC, run_id, learning_rate, weight_decay, epochs, dropout) AS INTEGER) AS rank"""
 
 _NESTED = """dealt AS (SELECT *, substr(md5(run_id), 1, (SELECT CAST(GREATEST(1, ceil(ln(COUNT(*) / 64.0) / ln(16))) AS INTEGER) FROM lineitem)) AS document FROM runs)"""
 
@@ -471,7 +471,7 @@ def oracle_sql() -> dict[str, str]:
         "speed_ratio": _with(_EVENT_TRIALS, _to_target(1))
         + f"SELECT event_type, trials_to_target, {_SPEED.format(t='trials_to_target', b='base')} AS speed FROM reached,"
         " (SELECT trials_to_target AS base FROM reached WHERE event_type = 'view')",
-        "daily_growth": "SELECT day, records, CAST(SUM(records) OVER (ORDER BY day) AS BIGINT) AS total_records"
+        "daily_growth": "SELECT CAST(day AS VARCHAR) AS day, records, CAST(SUM(records) OVER (ORDER BY day) AS BIGINT) AS total_records"
         " FROM (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS records FROM events GROUP BY day)",
         "cumulative_importance": _importance(),
         "top_runs_per_space": _with(_RUNS)
@@ -535,8 +535,8 @@ def oracle_sql() -> dict[str, str]:
         )
         + " FROM candidates",
         "density_ratio_rank": _with(_RUNS, _halves(), _density())
-        + "SELECT search_space_id, rank, run_id, CAST(density AS DOUBLE) AS density FROM (SELECT *, ROW_NUMBER() OVER"
-        " (PARTITION BY search_space_id ORDER BY density DESC, run_id) AS rank FROM dense) WHERE rank <= 200",
+        + "SELECT search_space_id, rank, run_id, CAST(density AS DOUBLE) AS density FROM (SELECT *, CAST(ROW_NUMBER() OVER"
+        " (PARTITION BY search_space_id ORDER BY density DESC, run_id) AS INTEGER) AS rank FROM dense) WHERE rank <= 200",
         "elite_profile": _with(
             _RUNS,
             "filled AS (SELECT run_id, search_space_id, val_accuracy, "
@@ -570,7 +570,7 @@ def oracle_sql() -> dict[str, str]:
         )
         + "SELECT *, (warm_best - cold_best) / cold_best * 100 AS gain_pct FROM result",
         # streaming
-        "live_progress": "SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, COUNT(*) AS trials, MAX(value) AS best"
+        "live_progress": "SELECT CAST(date_trunc('day', ts)::TIMESTAMP AS VARCHAR) AS window_start, event_type, COUNT(*) AS trials, MAX(value) AS best"
         " FROM events GROUP BY ALL",
     }
     return sql

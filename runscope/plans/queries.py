@@ -300,7 +300,7 @@ def speed_ratio(spark, sf):
 
 @query
 def daily_growth(spark, sf):
-    return run.daily_growth(_events(spark, sf), "ts")
+    return run.daily_growth(_events(spark, sf), "ts").withColumn("day", F.col("day").cast("string"))
 
 
 @query
@@ -516,5 +516,5 @@ def live_progress(spark, sf):
     schema = _events(spark, sf).schema
     progress = live.progress_of(spark, f"{sf}/events*.parquet", schema, "event_type", "ts", "value")
     return progress.select(
-        live.as_utc_wall_time("window_start").alias("window_start"), "event_type", "trials", "best"
+        live.as_utc_wall_time("window_start").cast("string").alias("window_start"), "event_type", "trials", "best"
     )
