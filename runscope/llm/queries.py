@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runscope.llm import personal_data, quality_classifier, quality_rules, secrets
+from runscope.llm import licenses, personal_data, quality_classifier, quality_rules, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,11 @@ def op4_quality_rules(spark, sf):
     return quality_rules.apply_rules(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query
+def op5_licenses(spark, sf):
+    return licenses.find_licenses(table(spark, sf, "documents"))
+
+
 @query
 def op8_secrets(spark, sf):
     return secrets.find_secrets(table(spark, sf, "documents"))
