@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runscope.llm import licenses, personal_data, quality_classifier, quality_rules, secrets
+from runscope.llm import licenses, personal_data, quality_classifier, quality_rules, secrets, sentence_pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op3_sentence_pieces(spark, sf):
+    return sentence_pieces.summarise(table(spark, sf, "documents"), sentence_pieces.vocabulary(spark))
+
+
 @query
 def op4_quality_rules(spark, sf):
     return quality_rules.apply_rules(table(spark, sf, "documents"), table(spark, sf, "labels"))
