@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runscope.llm import licenses, personal_data, quality_classifier, quality_rules, secrets, sentence_pieces
+from runscope.llm import (
+    licenses,
+    personal_data,
+    phrase_index,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    sentence_pieces,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +34,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op2_phrase_index(spark, sf):
+    return phrase_index.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query
 def op3_sentence_pieces(spark, sf):
     return sentence_pieces.summarise(table(spark, sf, "documents"), sentence_pieces.vocabulary(spark))
