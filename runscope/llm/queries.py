@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from runscope.llm import (
+    language_model,
     licenses,
     personal_data,
     phrase_index,
@@ -54,6 +55,11 @@ def op5_licenses(spark, sf):
     return licenses.find_licenses(table(spark, sf, "documents"))
 
 
+@query
+def op6_language_model(spark, sf):
+    return language_model.score_documents(table(spark, sf, "documents"))
+
+
 @query
 def op8_secrets(spark, sf):
     return secrets.find_secrets(table(spark, sf, "documents"))
