@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from runscope.llm import (
     language_model,
     licenses,
+    near_duplicates,
     personal_data,
     phrase_index,
     quality_classifier,
@@ -35,6 +36,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_near_duplicates(spark, sf):
+    return near_duplicates.near_duplicates(table(spark, sf, "documents"))
+
+
 @query
 def op2_phrase_index(spark, sf):
     return phrase_index.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
