@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from runscope.llm import (
     language_model,
     licenses,
+    line_alignment,
     near_duplicates,
     personal_data,
     phrase_index,
@@ -66,6 +67,11 @@ def op6_language_model(spark, sf):
     return language_model.score_documents(table(spark, sf, "documents"))
 
 
+@query
+def op7_line_alignment(spark, sf):
+    return line_alignment.summarise(table(spark, sf, "documents"))
+
+
 @query
 def op8_secrets(spark, sf):
     return secrets.find_secrets(table(spark, sf, "documents"))
