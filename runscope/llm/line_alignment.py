@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from runscope.llm.texts import arrow_batch, arrow_schema, text_rows
+from runscope.llm.texts import arrow_batch, arrow_schema, text_key, text_rows
 from runscope.session import written_table
 
 RARE = 8
@@ -110,14 +110,10 @@ def lines(docs: DataFrame) -> DataFrame:
                 words.append([len(x.split()) for x in cut])
             yield arrow_batch([batch.column("doc_id"), batch.column("key"), hashes, words], schema)
 
-    rows = docs.select(docs["doc_id"], _key(docs["text"]).alias("key"), docs["text"])
+    rows = docs.select(docs["doc_id"], text_key(docs["text"]).alias("key"), docs["text"])
     return text_rows(rows, "doc_id", "key").mapInArrow(run, _LINES)
 
 
-def _key(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
 def _document() -> Column:
     """Orders documents: by id, those without one last, then by text."""
     return F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
@@ -180,7 +176,7 @@ def clean(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) -> Data
     lines, number of removed lines, text without them."""
     gone = written_table(common_lines(docs, rare, min_words), "common-lines")
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("key").alias("_gone"), F.col("ranges").alias("_ranges"))
-    keyed = docs.withColumn("_key", _key(docs["text"]))
+    keyed = docs.withColumn("_key", text_key(docs["text"]))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_gone"))
     cut = F.split("text", "\n", -1)
     left = F.filter(cut, lambda line, i: ~F.exists("_ranges", lambda r: (r["start"] <= i) & (i < r["end"])))

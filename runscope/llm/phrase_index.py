@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from runscope.llm.texts import arrow_batch, arrow_schema, plain_words, text_rows
+from runscope.llm.texts import arrow_batch, arrow_schema, plain_words, text_key, text_rows
 from runscope.session import written_table
 
 WINDOW = 10
@@ -245,8 +245,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, length: int = WINDOW) -
     Contaminated documents are found by id and text: rows that share an id but not
     their text are judged each for itself.
     """
-    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    texts = docs.select(text_key(docs["text"]).alias("doc_id"), "text")
     found = contamination(texts, items, length).where("contaminated").select(F.col("doc_id").alias("_dirty"))
     dirty = written_table(found.distinct(), "contaminated")
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    keyed = docs.withColumn("_key", text_key(docs["text"]))
     return keyed.join(dirty, F.col("_key") == F.col("_dirty"), "left_anti").select(*docs.columns)

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 _KEPT = b"0123456789abcdefghijklmnopqrstuvwxyz"
@@ -49,6 +49,11 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: str = "16m") -> N
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+def text_key(text: Column) -> Column:
+    """Tells apart rows that share an id but not their text; a missing text equals an empty one."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def text_rows(docs: DataFrame, *columns: str, text: str = "text") -> DataFrame:
     """``columns`` and the text as bytes; a missing text is empty."""
     small_batches(docs.sparkSession)
