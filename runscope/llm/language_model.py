@@ -39,8 +39,8 @@ from runscope.session import written_table
 
 ORDER = 2
 MU = 4.0
-CHUNK_TOKENS = 1_000_000
-BUCKET_KEYS = 1_500_000
+CHUNK_TOKENS = 400_000
+BUCKET_KEYS = 500_000
 
 # No word contains white space, so no word has these hashes' texts.
 _START, _END = (np.uint64(xxhash.xxh64_intdigest(mark)) for mark in (b"\nstart", b"\nend"))
