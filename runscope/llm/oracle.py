@@ -1,7 +1,146 @@
-"""SQL that the queries of this package are checked against."""
+"""SQL that the queries of this package are checked against.
+
+Operators 1, 2 and 4 can be written in SQL as a whole. The others learn, segment, align or
+discover what SQL cannot express, or add up logarithms whose last digits depend on the
+order; they are tested against brute-force versions.
+"""
 
 from __future__ import annotations
 
+from runscope.llm import quality_rules
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_PLAIN = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_NEAR_DUPLICATES = f"""
+WITH RECURSIVE words AS (SELECT doc_id, {_SPACED.format(_LOWER)} AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT u, v FROM common c JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v
+  WHERE 100 * c.n >= 85 * (a.n + b.n - c.n)
+),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON l.u = r.other
+),
+named AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN named USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+_PHRASE_INDEX = f"""
+WITH items AS (SELECT item_id, {_PLAIN} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, w[i : i + 9] AS terms
+  FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0
+),
+lengths AS (SELECT DISTINCT len(terms) AS n FROM windows),
+words AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
+places AS (
+  SELECT doc_id, i, n, w[i : i + n - 1] AS terms
+  FROM words, lengths, unnest(range(1, len(w) - n + 2)) AS t(i)
+),
+found AS (SELECT doc_id, i, n, item FROM places JOIN windows USING (terms)),
+hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM found, unnest(range(i, i + n)) AS t(j) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list_distinct(list(item))), ',') AS names
+  FROM found GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
+def _quality_rules() -> str:
+    value = {
+        "symbols_per_word": "n_symbols / greatest(n_words, 1)",
+        "dup_line_share": "n_dup_lines / greatest(n_lines, 1)",
+        "repeat_word_share": "n_repeat_words / greatest(n_words, 1)",
+        "upper_share": "n_upper / greatest(n_letters, 1)",
+        "bangs_per_word": "n_bangs / greatest(n_words, 1)",
+        "mean_word_above": "word_chars / greatest(n_words, 1)",
+        "mean_word_below": "word_chars / greatest(n_words, 1)",
+    }
+    values = ",\n  ".join(f"('{r}', {v})" for r, v in value.items())
+    rules = quality_rules.RULES
+    grid = ", ".join(
+        f"('{rule}', {'TRUE' if side == 'above' else 'FALSE'}, {k}, {cutoff}::DOUBLE)"
+        for rule, (side, cutoffs) in rules.items()
+        for k, cutoff in enumerate(cutoffs)
+    )
+    alpha, delta = quality_rules.ALPHA, quality_rules.DELTA
+    count = "len(regexp_replace({}, '[^{}]', '', 'g'))"
+    return rf"""
+WITH cut AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, {_SPACED.format("coalesce(text, '')")} AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n
+  FROM cut, unnest(range(1, len(w) - 1)) AS t(i)
+),
+repeats AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM windows, unnest(range(i, i + 3)) AS t(j) WHERE n > 1 GROUP BY doc_id
+),
+stats AS (
+  SELECT doc_id, lang, len(w) AS n_words, len(array_to_string(w, '')) AS word_chars,
+    {count.format("t", "#*$%&|<>")} AS n_symbols, len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+    {count.format("t", "A-Z")} AS n_upper, {count.format("t", "A-Za-z")} AS n_letters, {count.format("t", "!?")} AS n_bangs
+  FROM cut LEFT JOIN repeats r USING (doc_id)
+),
+measured AS (
+  SELECT s.doc_id, s.lang, v.rule, v.value
+  FROM stats s, LATERAL (VALUES
+  {values}) AS v(rule, value)
+),
+grid(rule, above, k, cutoff) AS (VALUES {grid}),
+refusals AS (
+  SELECT doc_id, lang, rule, k, cutoff, CASE WHEN above THEN value > cutoff ELSE value < cutoff END AS refused
+  FROM measured JOIN grid USING (rule)
+),
+held AS (
+  SELECT r.lang, rule, k, cutoff, count(*) FILTER (quality = 1) AS n,
+    count(*) FILTER (quality = 1 AND refused) AS good, count(*) FILTER (quality = 0 AND refused) AS bad
+  FROM refusals r JOIN labels USING (doc_id) WHERE quality IN (0, 1) GROUP BY ALL
+),
+tested AS (
+  SELECT *, CASE WHEN good >= n * {alpha} THEN 1.0 ELSE list_sum(list_transform(range(0, good + 1), lambda j:
+    exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({alpha}) + (n - j) * ln(1 - {alpha})))) END AS p,
+    {delta} / ({len(rules)} * (SELECT count(*) FROM (SELECT DISTINCT lang FROM held))) AS level
+  FROM held
+),
+certified AS (
+  SELECT * FROM tested t WHERE NOT EXISTS (
+    SELECT 1 FROM tested f WHERE f.lang IS NOT DISTINCT FROM t.lang AND f.rule = t.rule AND f.k <= t.k AND f.p > f.level)
+),
+chosen AS (
+  SELECT lang, rule, arg_min(k, [good - bad, k]) AS k FROM certified WHERE bad > good GROUP BY lang, rule
+),
+out AS (
+  SELECT DISTINCT r.doc_id FROM refusals r JOIN chosen c
+  ON r.lang IS NOT DISTINCT FROM c.lang AND r.rule = c.rule AND r.k = c.k WHERE refused
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND doc_id NOT IN (SELECT doc_id FROM out) AS kept
+FROM stats
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_near_duplicates": _NEAR_DUPLICATES,
+        "op2_phrase_index": _PHRASE_INDEX,
+        "op4_quality_rules": _quality_rules(),
+    }
