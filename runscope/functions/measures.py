@@ -2,9 +2,9 @@
 
 An average of doubles depends on the order of the additions, so the last digit
 of a rounded mean can change with the partitioning or with a retried task. Here a
-value is split into whole millionths plus whole millionths of a millionth, both
-summed as BIGINT. Those sums are associative, stay in generated code, and are
-turned into a mean by integer arithmetic once per group.
+value is split into whole millionths, summed as DECIMAL, plus whole millionths of a
+millionth, summed as BIGINT. Those sums are associative and are turned into a
+mean by integer arithmetic once per group. NaN counts as missing throughout.
 """
 
 from __future__ import annotations
@@ -12,10 +12,23 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 _UNIT = 1_000_000
+# Sums of this type hold ten digits more.
+_WHOLE = "decimal(28,0)"
+
+
+def present(value: Column | str) -> Column:
+    """The value, NULL where it is NaN."""
+    value = F.col(value) if isinstance(value, str) else value
+    number = value.cast("double")
+    return F.when(~F.isnan(number), value)
 
 
 def whole_millionths(value: Column) -> Column:
-    return F.rint(value.cast("double") * float(_UNIT)).cast("bigint")
+    return F.rint(present(value).cast("double") * float(_UNIT)).cast("bigint")
+
+
+def _millionths(value: Column) -> Column:
+    return F.rint(value.cast("double") * float(_UNIT)).cast(_WHOLE)
 
 
 def _rest(value: Column) -> Column:
@@ -31,23 +44,23 @@ def divide_half_up(numerator: Column, denominator: Column) -> Column:
 
 
 def mean(value: Column | str, digits: int) -> Column:
-    """Aggregate: mean of the non-null values, rounded half up to ``digits``."""
-    value = F.col(value) if isinstance(value, str) else value
+    """Aggregate: mean of the values present, rounded half up to ``digits``."""
+    value = present(value)
     whole = lambda c: c.cast("decimal(38,0)")
     count = F.count(value)
-    total = whole(F.sum(whole_millionths(value))) * F.lit(_UNIT) + F.sum(_rest(value))
+    total = whole(F.sum(_millionths(value))) * F.lit(_UNIT) + F.sum(_rest(value))
     step = whole(count) * F.lit(10 ** (12 - digits))
     rounded = divide_half_up(whole(total), whole(step))
     return F.when(count > 0, rounded.cast("double") / F.lit(float(10**digits)))
 
 
 def highest(value: Column | str, digits: int = 4) -> Column:
-    return F.round(F.max(value), digits)
+    return F.round(F.max(present(value)), digits)
 
 
 def spread(value: Column | str, digits: int = 4) -> Column:
     """Aggregate: sample standard deviation; NULL for a single row, never NaN."""
-    return F.round(F.stddev_samp(value), digits)
+    return F.round(F.stddev_samp(present(value)), digits)
 
 
 def gain_percent(new: Column, base: Column) -> Column:
@@ -58,8 +71,15 @@ def gap_percent(best: Column, found: Column) -> Column:
     return F.try_divide(best - found, best) * F.lit(100.0)
 
 
-def speed_label(base_trials: Column, trials: Column) -> Column:
-    """``2.4x faster`` / ``0.6x slower`` / ``1.0x``; one decimal, half up."""
+def speed_label(base_trials: Column, trials: Column, base: int = 1) -> Column:
+    """``2.4x faster`` / ``0.6x slower`` / ``1.0x``; one decimal, half up.
+
+    ``base`` is the number of the first trial. Trials numbered from 0 are compared as they
+    are where both counts are above 0; a hit at trial 0 has no ratio, so the counts are then taken from 1.
+    """
+    if base == 0:
+        either = (base_trials == 0) | (trials == 0)
+        base_trials, trials = (F.when(either, c + 1).otherwise(c) for c in (base_trials, trials))
     tenths = divide_half_up(base_trials * F.lit(10), trials)
     text = F.concat(
         F.call_function("div", tenths, F.lit(10)).cast("string"),
@@ -72,7 +92,7 @@ def speed_label(base_trials: Column, trials: Column) -> Column:
         .when(trials > base_trials, F.concat(text, F.lit(" slower")))
         .otherwise(text)
     )
-    return F.when(trials > 0, label)
+    return F.when((trials > 0) & (base_trials > 0), label)
 
 
 def lr_band(rate: Column | str, low: float = 0.001, mid: float = 0.01) -> Column:

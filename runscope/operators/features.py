@@ -58,15 +58,20 @@ def decode_labels(df: DataFrame, index: str, labels: DataFrame, output: str) ->
     return df.join(named, F.col(index) == F.col(f"_{output}"), "left").drop(f"_{output}")
 
 
-def feature_pipeline(runs: DataFrame) -> PipelineModel:
-    """Index the three label columns by frequency and assemble ten inputs."""
-    indexers = [StringIndexer(inputCol=c, outputCol=o) for c, o in INDEXED.items()]
-    assembler = VectorAssembler(inputCols=ASSEMBLED, outputCol="features")
-    return Pipeline(stages=[*indexers, assembler]).fit(runs)
-
-
 def feature_matrix(runs: DataFrame) -> DataFrame:
-    return feature_pipeline(runs).transform(runs).select(*MATRIX_COLUMNS)
+    """Index the three label columns by frequency and assemble ten inputs.
+
+    The labels are tables and are joined, so their number is not bounded by the driver. A missing label gets
+    the index after the last one.
+    """
+    coded = runs
+    for column, output in INDEXED.items():
+        # Labels come from the plain runs, not from the runs joined so far.
+        labels = written_table(frequency_labels(runs, column), "labels")
+        coded = encode(coded, column, labels, output).withColumn(
+            output, F.coalesce(F.col(output), F.lit(labels.count())).cast("double")
+        )
+    return VectorAssembler(inputCols=ASSEMBLED, outputCol="features").transform(coded).select(*MATRIX_COLUMNS)
 
 
 def save_feature_matrix(matrix: DataFrame, path: str) -> None:

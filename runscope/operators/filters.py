@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from runscope.functions.measures import spread
+from runscope.session import written_table
 
 
 def project_runs(runs: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -29,21 +30,22 @@ def fill_missing_hp(runs: DataFrame, columns: list[str]) -> DataFrame:
     return runs.fillna(0, subset=columns)
 
 
-def _extremes(runs: DataFrame, columns: list[str]) -> DataFrame:
-    filled = fill_missing_hp(runs.select(*columns), columns)
-    return filled.agg(
+def _extremes(runs: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    filled = fill_missing_hp(runs.select(*by, *columns), columns)
+    return filled.groupBy(*by).agg(
         *[F.min(c).alias(f"min_{c}") for c in columns],
         *[F.max(c).alias(f"max_{c}") for c in columns],
         *[spread(c, 6).alias(f"std_{c}") for c in columns],
     )
 
 
-def hp_variation(runs: DataFrame, columns: list[str]) -> DataFrame:
-    """Per column: sample deviation after filling, and whether the column varies at all.
+def hp_variation(runs: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """Per column, overall or by group: sample deviation after filling, and whether the column varies at all.
 
     ``min < max`` is the exact form of "deviation above zero" and is false for a
     single row, whose deviation is undefined.
     """
+    by = by or []
     rows = [
         F.struct(
             F.lit(c).alias("hp"),
@@ -52,7 +54,22 @@ def hp_variation(runs: DataFrame, columns: list[str]) -> DataFrame:
         )
         for c in columns
     ]
-    return _extremes(runs, columns).select(F.inline(F.array(*rows)))
+    return _extremes(runs, columns, by).select(*by, F.inline(F.array(*rows)))
+
+
+def blank_constant_hp(runs: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    """``drop_constant_hp`` for many groups at once: a column is NULL in the groups in which it doesn't vary."""
+    found = _extremes(runs, columns, by).select(
+        *[F.col(c).alias(f"_by_{c}") for c in by],
+        *[(F.col(f"min_{c}") < F.col(f"max_{c}")).alias(f"_varies_{c}") for c in columns],
+    )
+    found = written_table(found, "variation")
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    filled = fill_missing_hp(runs, columns)
+    joined = filled.join(found, same)
+    return joined.select(
+        *[F.when(F.col(f"_varies_{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in filled.columns]
+    )
 
 
 def varying_columns(runs: DataFrame, columns: list[str]) -> list[str]:

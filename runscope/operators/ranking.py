@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from runscope.functions.measures import whole_millionths
+from runscope.functions.measures import present, whole_millionths
 from runscope.session import written_table
 
 PARTS = 64
@@ -33,16 +33,23 @@ def top_per_group(df: DataFrame, by: list[str], order: list[str | Column], k: in
 
 
 def top_per_group_by_step(
-    df: DataFrame, by: list[str], step: Column, order: list[str | Column], k: int, rank: str = "rank"
+    df: DataFrame,
+    by: list[str],
+    step: Column,
+    order: list[str | Column],
+    k: int,
+    rank: str = "rank",
+    nulls_first: bool = True,
 ) -> DataFrame:
     """The same, for large inputs: most rows are put aside before anything is sorted.
 
-    ``step`` is a whole number that never falls along the order and takes few values.
+    ``step`` is a whole number that never falls along the order and takes few values;
+    ``nulls_first`` tells on which end of the order the rows stand whose step is NULL.
     Rows are counted by step, which combines before the shuffle. The last step needed
     to fill each group's ``k`` places is written as a small table, and a second scan
     keeps the rows up to it: all of the top ``k``, plus ties within the last step.
     """
-    step = F.coalesce(step.cast("bigint"), F.lit(-(2**62)))  # NULL sorts first
+    step = F.coalesce(step.cast("bigint"), F.lit(-(2**62) if nulls_first else 2**62))
     counts = df.groupBy(*by, step.alias("_step")).agg(F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(*by).orderBy("_step").rowsBetween(W.unboundedPreceding, -1)
     needed = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where(F.col("_before") < k)
@@ -53,8 +60,10 @@ def top_per_group_by_step(
 
 
 def top_runs_per_space(runs: DataFrame, k: int = 3) -> DataFrame:
+    """The ``k`` most accurate runs of every space. Runs without an accuracy (NULL or NaN) are none of the best."""
+    measured = runs.where(present("val_accuracy").isNotNull())
     return top_per_group_by_step(
-        runs, ["search_space_id"], -whole_millionths(F.col("val_accuracy")), [F.desc("val_accuracy"), *TIEBREAK], k
+        measured, ["search_space_id"], -whole_millionths(F.col("val_accuracy")), [F.desc("val_accuracy"), *TIEBREAK], k
     )
 
 

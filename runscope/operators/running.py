@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from runscope.functions.measures import present
 from runscope.session import written_table
 
 ROWS_PER_RANGE = 1_000_000
@@ -66,9 +67,9 @@ def best_so_far(
     start: float = 0.0,
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """Trial number (0-based) and best value so far, never below ``start``."""
+    """Trial number (0-based) and best value so far, never below ``start``; NaN and NULL are no best value."""
     scanned = running(
-        trials, by, order, {"trial": ("sum", F.lit(1)), "best": ("max", F.col(value))}, rows_per_range
+        trials, by, order, {"trial": ("sum", F.lit(1)), "best": ("max", present(value))}, rows_per_range
     )
     return scanned.withColumn("trial", F.col("trial") - 1).withColumn(
         "best", F.greatest(F.lit(float(start)), "best")
@@ -87,11 +88,11 @@ def trials_to_target(
     """Trials before the best value reaches ``target``; all of them if it never does.
 
     The best value reaches the target at the first trial that does, so no window is
-    needed: find the first hit of each group, then count the rows before it. Both
-    passes combine before the shuffle. The table of hits is written, hence the
+    needed: find the first hit of each group, then count the rows before it. A NaN is no hit. Only
+    rows that reach the target are looked at for the first hit. The table of hits is written, hence the
     planner knows its size and broadcasts it only if small.
     """
-    reached = (F.col(value) >= target) | F.lit(start >= target)
+    reached = (present(value) >= target) | F.lit(start >= target)
     place = F.struct(*order)
     hits = trials.groupBy(*by).agg(F.min(F.when(reached, place)).alias("_hit"))
     first = written_table(hits, "first-hits")

@@ -252,6 +252,13 @@ _EVENT_TRIALS = """trials AS (
   FROM events)"""
 
 
+def _from_one(side: str) -> str:
+    """Trials counted from 1 where either method hits at trial 0, which has no ratio."""
+    return (
+        f"({side}.trials_to_target + CASE WHEN s.trials_to_target = 0 OR b.trials_to_target = 0 THEN 1 ELSE 0 END)"
+    )
+
+
 def _to_target(base: int) -> str:
     return f"""reached AS (
   SELECT event_type, COUNT(*) AS n_trials,
@@ -308,12 +315,6 @@ def _by(column: str) -> str:
     )
 
 
-def _latest(keys: list[str]) -> str:
-    return ", ".join(
-        f"arg_max(value, (ts, event_id)) FILTER (event_type = '{k}') AS \"metrics.{k}\"" for k in keys
-    )
-
-
 def _scan(condition: str = "TRUE", columns: list[str] | None = None) -> str:
     return _ON_RUNS + f"SELECT {_out(*(columns or _COLUMNS))} FROM runs WHERE {condition}"
 
@@ -327,12 +328,25 @@ def _manifest_side(sign: str) -> str:
 
 def _variation() -> str:
     return _ON_RUNS + "\nUNION ALL ".join(
-        f"SELECT '{c}' AS hp, ROUND(STDDEV_SAMP(CAST(COALESCE({c}, 0) AS DOUBLE)), 6) AS std,"
-        f" COALESCE(STDDEV_SAMP(CAST(COALESCE({c}, 0) AS DOUBLE)) > 0, FALSE) AS kept FROM runs WHERE search_space_id = 1"
+        f"SELECT search_space_id, '{c}' AS hp, ROUND(STDDEV_SAMP(CAST(COALESCE({c}, 0) AS DOUBLE)), 6) AS std,"
+        f" MIN(COALESCE({c}, 0)) < MAX(COALESCE({c}, 0)) AS kept FROM runs GROUP BY search_space_id"
         for c in _HP
     )
 
 
+def _blanked() -> str:
+    columns = ", ".join(
+        f"CASE WHEN MIN(COALESCE({c}, 0)) OVER w < MAX(COALESCE({c}, 0)) OVER w"
+        f" THEN CAST(COALESCE({c}, 0) AS DOUBLE) END AS {c}"
+        for c in _HP
+    )
+    return _ON_RUNS + f"SELECT run_id, {columns} FROM runs WINDOW w AS (PARTITION BY search_space_id)"
+
+
+_GAPS = """runs AS (SELECT * REPLACE (CASE WHEN split_part(run_id, '_', 3) IN ('3', '5') THEN NULL ELSE val_accuracy END
+  AS val_accuracy) FROM all_runs)"""
+
+
 def _importance() -> str:
     strengths = ", ".join(
         f"ROUND(ABS(CORR(CAST(COALESCE({c}, 0) AS DOUBLE), CAST(val_accuracy AS DOUBLE))), 6) AS {c}" for c in _HP
@@ -347,8 +361,6 @@ FROM shares WINDOW w AS (ORDER BY importance DESC, hp ROWS UNBOUNDED PRECEDING)"
 _TOP = """CAST(ROW_NUMBER() OVER (PARTITION BY search_space_id
   ORDER BY val_accuracy DESC, run_id, learning_rate, weight_decay, epochs, dropout) AS INTEGER) AS rank"""
 
-_NESTED = """dealt AS (SELECT *, substr(md5(run_id), 1, (SELECT CAST(GREATEST(1, ceil(ln(COUNT(*) / 64.0) / ln(16))) AS INTEGER) FROM lineitem)) AS document FROM runs)"""
-
 _TRANSFER_FILL = ", ".join(f"CAST(COALESCE({c}, 0) AS DOUBLE) AS {c}" for c in _HP)
 _TRANSFER_GAP = " + ".join(f"(t.{c} - p.{c}) * (t.{c} - p.{c})" for c in _HP)
 
@@ -363,10 +375,9 @@ def oracle_sql() -> dict[str, str]:
         "write_runs": scan,
         "register_runs": _ON_RUNS + "SELECT search_space_id, COUNT(*) AS runs FROM runs GROUP BY search_space_id",
         "runs_per_space": _ON_RUNS + "SELECT search_space_id, COUNT(*) AS runs FROM runs GROUP BY search_space_id",
-        "flatten_nested_runs": _with(_RUNS, _NESTED)
-        + "SELECT concat(search_space_id, '_', dataset_id, '_', ROW_NUMBER() OVER (PARTITION BY document, search_space_id,"
-        " dataset_id ORDER BY run_id, hp_0, hp_1, hp_2, hp_3, hp_4, val_accuracy) - 1) AS run_id, "
-        + _out("search_space_id", "dataset_id", "val_accuracy", *_HP) + " FROM dealt",
+        "flatten_nested_runs": _ON_RUNS + "SELECT " + _out("search_space_id", "dataset_id", "val_accuracy", *_HP) + " FROM runs",
+        "nested_run_names": _ON_RUNS
+        + "SELECT search_space_id, dataset_id, COUNT(*) AS runs, COUNT(*) AS names FROM runs GROUP BY ALL",
         "explode_split_manifest": _ON_RUNS
         + "SELECT DISTINCT search_space_id, dataset_id FROM runs WHERE dataset_id % 10 = 0",
         "split_by_manifest": _ON_RUNS
@@ -408,9 +419,15 @@ def oracle_sql() -> dict[str, str]:
                 ("artifact", "table", "'space_summary.parquet'", "NULL"),
             )
         ),
-        "search_runs": f"SELECT user_id, {_latest(['click', 'error', 'purchase', 'signup', 'view'])} FROM events GROUP BY user_id",
-        "drop_all_null_rows": f"SELECT * FROM (SELECT user_id, {_latest(['click', 'error'])} FROM events GROUP BY user_id)"
-        ' WHERE "metrics.click" IS NOT NULL OR "metrics.error" IS NOT NULL',
+        "search_runs": "SELECT CAST(user_id AS VARCHAR) AS run_id, concat('user ', user_id) AS run_name,"
+        " CASE WHEN SUM(n) OVER w % 2 = 0 THEN 'FINISHED' ELSE 'RUNNING' END AS status,"
+        " strftime(MIN(start) OVER w, '%Y-%m-%d %H:%M:%S') AS start_time, CAST(SUM(n) OVER w AS VARCHAR) AS events,"
+        " event_type AS key, value FROM (SELECT user_id, event_type, COUNT(*) AS n, MIN(ts) AS start,"
+        " arg_max(value, (ts, value)) AS value FROM events GROUP BY user_id, event_type) WINDOW w AS (PARTITION BY user_id)",
+        "drop_all_null_rows": "SELECT CAST(user_id AS VARCHAR) AS run_id,"
+        " arg_max(value, (ts, value)) FILTER (event_type = 'click') AS \"metrics.click\","
+        " arg_max(value, (ts, value)) FILTER (event_type = 'error') AS \"metrics.error\""
+        " FROM events WHERE value >= 180 AND event_type IN ('click', 'error') GROUP BY user_id",
         "profile_table": _ON_RUNS + _profile_columns(),
         "feature_matrix": _MATRIX,
         "save_feature_matrix": _MATRIX,
@@ -426,7 +443,16 @@ def oracle_sql() -> dict[str, str]:
         "fill_missing_hp": _ON_RUNS + f"SELECT run_id, {_zero(*_HP)} FROM runs",
         "select_hp_columns": _scan(columns=["run_id", *_HP]),
         "hp_variation": _variation(),
-        "drop_constant_hp": _ON_RUNS + f"SELECT run_id, {_zero(*_HP[:4])} FROM runs WHERE search_space_id = 1",
+        "drop_constant_hp": _blanked(),
+        "top_runs_with_gaps": _with(_RUNS.replace("runs AS", "all_runs AS", 1), _GAPS)
+        + f"SELECT search_space_id, rank, run_id, CAST(val_accuracy AS DOUBLE) AS val_accuracy FROM (SELECT *, {_TOP} FROM runs"
+        " WHERE val_accuracy IS NOT NULL) WHERE rank <= 3",
+        "space_summary_with_gaps": _with(_RUNS.replace("runs AS", "all_runs AS", 1), _GAPS, _BY_SPACE) + "SELECT * FROM by_space",
+        "trials_to_target_with_gaps": _with(
+            _EVENT_TRIALS.replace("event_id, value,", "event_id, CASE WHEN event_id % 3 <> 0 THEN value END AS value,").replace("MAX(value)", "MAX(CASE WHEN event_id % 3 <> 0 THEN value END)"),
+            _to_target(0),
+        )
+        + "SELECT * FROM reached",
         "accuracy_gain": _with(_RUNS, _BY_SPACE)
         + "SELECT search_space_id, best_acc, avg_acc, (best_acc - avg_acc) / avg_acc * 100 AS gain_pct,"
         " (best_acc - avg_acc) / best_acc * 100 AS gap_pct FROM by_space",
@@ -554,7 +580,7 @@ def oracle_sql() -> dict[str, str]:
             " FROM curves GROUP BY search_space_id, method)",
         )
         + "SELECT s.search_space_id, s.method, s.n_trials, s.best, s.trials_to_target, (s.best - b.best) / b.best * 100 AS gain_pct, "
-        + _SPEED.format(t="s.trials_to_target", b="b.trials_to_target")
+        + _SPEED.format(t=_from_one("s"), b=_from_one("b"))
         + " AS speed FROM summary s JOIN summary b ON b.search_space_id = s.search_space_id AND b.method = 'random'",
         "transfer_gain": _with(
             _RUNS,

@@ -29,8 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 HP = ["hp_0", "hp_1", "hp_2", "hp_3", "hp_4"]
 SETTINGS = ["learning_rate", "batch_size", "dropout", "num_layers", "hidden_units", "weight_decay", "epochs"]
 TARGET = 6
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-TREES = 20
+TREES = 100
+SPACE_TREES = 50
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -98,14 +98,28 @@ def write_runs(spark, sf):
     return src.scan_runs(spark, path).select(*runs.columns)
 
 
-@query
-def flatten_nested_runs(spark, sf):
+def _nested_files(spark: SparkSession, sf: str) -> str:
+    """All runs as JSON documents of about 64 runs each, by hash of the run id, whatever the data size."""
     runs, path = _runs(spark, sf), fresh_path(spark, "nested-json")
-    # Documents of about 64 runs each, by hash of the run id, whatever the data size.
     digits = max(1, math.ceil(math.log(max(1, runs.count()) / 64, 16)))
     dealt = runs.withColumn("document", F.substring(F.md5("run_id"), 1, digits))
     nested.nest_runs(dealt, "document", HP, ["run_id"]).select("value").write.text(path)
-    return nested.flatten_nested_runs(spark, path, len(HP))
+    return path
+
+
+@query
+def flatten_nested_runs(spark, sf):
+    """Every run of the documents with all its values; names are checked by ``nested_run_names``."""
+    return nested.flatten_nested_runs(spark, _nested_files(spark, sf)).drop("run_id")
+
+
+@query
+def nested_run_names(spark, sf):
+    runs = nested.flatten_nested_runs(spark, _nested_files(spark, sf), len(HP))
+    named = runs.groupBy("search_space_id", "dataset_id", "run_id").agg(F.count(F.lit(1)).alias("n"))
+    return named.groupBy("search_space_id", "dataset_id").agg(
+        F.sum("n").alias("runs"), F.count(F.lit(1)).alias("names")
+    )
 
 
 @query
@@ -153,8 +167,8 @@ def manifest_train_runs(spark, sf):
 
 @query
 def register_runs(spark, sf):
-    src.register_runs(_runs(spark, sf), "hpo_runs_real")
-    return spark.sql("SELECT search_space_id, COUNT(*) AS runs FROM hpo_runs_real GROUP BY search_space_id")
+    src.register_runs(_runs(spark, sf), "real_runs")
+    return spark.sql("SELECT search_space_id, COUNT(*) AS runs FROM real_runs GROUP BY search_space_id")
 
 
 @query
@@ -180,20 +194,35 @@ def log_run(spark, sf):
     return tracking.read_log(spark, path).drop("ts")
 
 
+def _event_log(spark: SparkSession, sf: str, least: float = 0.0) -> DataFrame:
+    """Events as the log of runs: every user is a run, every event a metric named after its type."""
+    events, path = _events(spark, sf), fresh_path(spark, "run-log")
+    run, name = F.col("user_id"), F.concat(F.lit("user "), F.col("user_id"))
+    kept = events.where(F.col("value") >= least)
+    tracking.log_run(tracking.metric_records(kept, run, name, F.col("event_type"), F.col("value"), F.col("ts")), path)
+    last = events.groupBy("user_id").agg(F.max("ts").alias("ts"), F.count(F.lit(1)).alias("n"))
+    state = F.when(F.col("n") % 2 == 0, "FINISHED").otherwise("RUNNING")
+    tracking.log_run(tracking.long_records(last, run, name, {"events": F.col("n")}, status=state, ts=F.col("ts")), path)
+    return tracking.read_log(spark, path)
+
+
 @query
 def search_runs(spark, sf):
-    return tracking.search_runs(
-        _events(spark, sf), "user_id", "event_type", "value", ["ts", "event_id"], EVENT_TYPES
+    """All runs of a log with every value logged; metrics as rows, so that no list of names is needed."""
+    found = tracking.search_runs(_event_log(spark, sf))
+    return found.select(
+        "run_id", "run_name", "status", F.date_format("start_time", "yyyy-MM-dd HH:mm:ss").alias("start_time"),
+        F.col("params")["events"].alias("events"), F.explode("metrics").alias("key", "value"),
     )
 
 
 @query
 def drop_all_null_rows(spark, sf):
-    wide = tracking.search_runs(
-        _events(spark, sf), "user_id", "event_type", "value", ["ts", "event_id"], ["click", "error", "retry"]
-    )
-    metrics = names.columns_with_prefix(wide, "metrics.")
-    return flt.drop_all_null_rows(flt.drop_empty_columns(wide, metrics), ["metrics.click", "metrics.error"])
+    """Only large values are logged, so many runs have neither metric."""
+    wide = tracking.metric_columns(tracking.search_runs(_event_log(spark, sf, 180.0)).select("run_id", "metrics"))
+    return flt.drop_all_null_rows(
+        flt.drop_empty_columns(wide, names.columns_with_prefix(wide, "metrics.")), ["metrics.click", "metrics.error"]
+    ).select("run_id", "`metrics.click`", "`metrics.error`")
 
 
 @query
@@ -225,11 +254,8 @@ _on_runs("exclude_target_space", lambda r: flt.exclude_target_space(r, TARGET).s
 _on_runs("lr_bands", lambda r: r.select("run_id", "learning_rate", lr_band("learning_rate").alias("lr_range")))
 _on_runs("fill_missing_hp", lambda r: flt.fill_missing_hp(r, HP).select("run_id", *HP))
 _on_runs("select_hp_columns", lambda r: r.select("run_id", *names.columns_with_prefix(r)))
-_on_runs("hp_variation", lambda r: flt.hp_variation(flt.filter_space(r, 1), HP))
-_on_runs(
-    "drop_constant_hp",
-    lambda r: flt.drop_constant_hp(flt.filter_space(r, 1).select("run_id", *HP), HP),
-)
+_on_runs("hp_variation", lambda r: flt.hp_variation(r, HP, ["search_space_id"]))
+_on_runs("drop_constant_hp", lambda r: flt.blank_constant_hp(r, HP, ["search_space_id"]).select("run_id", *HP))
 _on_runs("accuracy_gain", summ.accuracy_gain)
 
 
@@ -243,6 +269,22 @@ def metric_names(spark, sf):
     )
 
 
+def _with_gaps(runs: DataFrame) -> DataFrame:
+    """The same runs with accuracies missing in every space: NULL for some, NaN for others."""
+    line = F.split_part("run_id", F.lit("_"), F.lit(3))
+    return runs.withColumn(
+        "val_accuracy",
+        F.when(line == "3", F.lit(None)).when(line == "5", F.lit(float("nan"))).otherwise(F.col("val_accuracy").cast("double")),
+    )
+
+
+_on_runs(
+    "top_runs_with_gaps",
+    lambda r: rank.top_runs_per_space(_with_gaps(r)).select("search_space_id", "rank", "run_id", "val_accuracy"),
+)
+_on_runs("space_summary_with_gaps", lambda r: summ.space_summary(_with_gaps(r)))
+
+
 # --- summaries ----------------------------------------------------------------------
 
 for _op in (
@@ -298,6 +340,15 @@ def speed_ratio(spark, sf):
     )
 
 
+@query
+def trials_to_target_with_gaps(spark, sf):
+    """Every third value is NaN: neither a hit nor a best value."""
+    gaps = _events(spark, sf).withColumn(
+        "value", F.when(F.col("event_id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    )
+    return run.trials_to_target(gaps, ["event_type"], ["ts", "event_id"], "value", target=200.0)
+
+
 @query
 def daily_growth(spark, sf):
     return run.daily_growth(_events(spark, sf), "ts").withColumn("day", F.col("day").cast("string"))
@@ -448,7 +499,7 @@ def space_surrogates(spark, sf):
     src.write_runs(_runs(spark, sf).select("search_space_id", *HP, "val_accuracy"), path)
     runs = src.scan_runs(spark, path)
     spaces = sorted(r[0] for r in summ.list_spaces(runs).collect())
-    models = surr.space_surrogates(runs, HP, spaces, trees=5, depth=4)
+    models = surr.space_surrogates(runs, HP, spaces, trees=SPACE_TREES)
     return surr.space_surrogate_quality(runs, HP, models)
 
 
@@ -477,8 +528,27 @@ def score_candidates(spark, sf):
     return srch.score_candidates(model, srch.random_candidates(summ.list_spaces(runs), HP), HP, 10)
 
 
+@query
+def score_settings(spark, sf):
+    """Candidates of the training settings, scored by a surrogate of the same settings and encoded labels."""
+    runs = _runs(spark, sf)
+    spaces = written_table(summ.list_spaces(runs), "spaces")
+    candidates = srch.random_settings(spaces)
+    coded = runs
+    for column, output in {"optimizer": "optimizer_enc", "search_space_id": "space_enc"}.items():
+        labels = written_table(feat.alphabetical_labels(runs, column), "labels")
+        coded = feat.encode(coded, column, labels, output)
+        candidates = feat.encode(candidates, column, labels, output)
+    inputs = [*SETTINGS, "optimizer_enc", "space_enc"]
+    model = surr.fit_surrogate(coded, inputs, trees=SPACE_TREES)
+    known = F.col("optimizer_enc").isNotNull() & F.col("space_enc").isNotNull()
+    return srch.score_candidates(model, candidates, inputs, 10, known)
+
+
 def _halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return feat.split_runs(_runs(spark, sf), first_hex="8")
+    """History and held-out runs, from one scan into a narrow table."""
+    narrow = _runs(spark, sf).select("search_space_id", "run_id", "val_accuracy", *HP)
+    return feat.split_runs(written_table(narrow, "narrow-runs"), first_hex="8")
 
 
 @query

@@ -1,8 +1,13 @@
-"""Nested JSON documents: runs by space and dataset, and the split manifest."""
+"""Nested JSON documents: runs by space and dataset, and the split manifest.
+
+A document that does not parse stops the job with Spark's own error, so an incomplete
+result is never mistaken for a complete one. With ``skip_bad`` such documents are left
+out; ``rejected_documents`` returns them. Blank lines are no documents.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from runscope.sources import schema
 
@@ -16,17 +21,40 @@ def read_documents(spark: SparkSession, path: str, whole_files: bool = False) ->
     return spark.read.text(path, wholetext=whole_files)
 
 
-def flatten_documents(documents: DataFrame, width: int) -> DataFrame:
-    """``{space: {dataset: {X, y}}}`` to one row per run.
+def _parsed(kind: T.DataType, skip_bad: bool) -> Column:
+    return F.from_json("value", kind, {"mode": "PERMISSIVE" if skip_bad else "FAILFAST"})
+
+
+def _documents(documents: DataFrame) -> DataFrame:
+    return documents.where(F.trim(F.regexp_replace("value", r"[\x09-\x0D]", " ")) != "")
+
 
-    Runs are numbered by position. ``X`` and ``y`` are paired up to the shorter of
-    the two. ``hp_j`` is the j-th value of the configuration, NULL past its end.
+def rejected_documents(documents: DataFrame, kind: T.DataType = schema.NESTED_RUNS) -> DataFrame:
+    """The documents that ``skip_bad`` leaves out."""
+    return _documents(documents).where(_parsed(kind, skip_bad=True).isNull())
+
+
+def flatten_documents(documents: DataFrame, skip_bad: bool = False) -> DataFrame:
+    """``{space: {dataset: {X, y}}}`` to one row per run; ``hp`` has all its configuration values.
+
+    ``X`` and ``y`` are paired by position, up to the shorter of the two. An entry of ``y`` is a
+    number or a list, of which the first element counts. A run is named after its space, dataset,
+    document and position. Documents are told apart by a hash of their content, and copies of
+    one by their number, so names are unique and depend neither on files nor on partitions.
     """
+    counted = (
+        _documents(documents)
+        .groupBy("value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("value", F.xxhash64("value").alias("hash"), F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    )
+    document = F.concat(F.lower(F.hex("hash")), F.when(F.col("copy") > 1, F.concat(F.lit("."), "copy")).otherwise(""))
     runs = (
-        documents.select(F.from_json("value", schema.NESTED_RUNS).alias("spaces"))
-        .select(F.explode("spaces").alias("search_space_id", "datasets"))
-        .select("search_space_id", F.explode("datasets").alias("dataset_id", "runs"))
+        counted.select(document.alias("document"), _parsed(schema.NESTED_RUNS, skip_bad).alias("spaces"))
+        .select("document", F.explode("spaces").alias("search_space_id", "datasets"))
+        .select("document", "search_space_id", F.explode("datasets").alias("dataset_id", "runs"))
         .select(
+            "document",
             "search_space_id",
             "dataset_id",
             F.least(F.size("runs.X"), F.size("runs.y")).alias("n"),
@@ -34,34 +62,55 @@ def flatten_documents(documents: DataFrame, width: int) -> DataFrame:
         )
         .where(F.col("i") < F.col("n"))
     )
-    first_number = F.regexp_extract(F.col("run.y"), r"-?\d[0-9.eE+-]*", 0)
+    y = F.trim(F.col("run.y"))
+    first = F.when(y.startswith("["), F.get(F.from_json(y, "array<double>"), F.lit(0))).otherwise(y.cast("double"))
     return runs.select(
-        F.concat_ws("_", "search_space_id", "dataset_id", F.col("i")).alias("run_id"),
+        F.concat_ws("_", "search_space_id", "dataset_id", "document", F.col("i")).alias("run_id"),
         F.col("search_space_id").cast("int").alias("search_space_id"),
         F.col("dataset_id").cast("int").alias("dataset_id"),
-        F.when(first_number != "", first_number.cast("double")).alias("val_accuracy"),
-        *[F.get(F.col("run.X"), F.lit(j)).alias(f"hp_{j}") for j in range(width)],
+        first.alias("val_accuracy"),
+        F.col("run.X").alias("hp"),
+    )
+
+
+def widen(runs: DataFrame, width: int | None = None) -> DataFrame:
+    """``hp`` as columns ``hp_0, hp_1, ...``, NULL past the end of a configuration.
+
+    Without ``width`` one aggregation finds it. A configuration with more values than
+    ``width`` stops the job.
+    """
+    if width is None:
+        width = runs.agg(F.max(F.size("hp")).alias("width")).first()["width"] or 0
+    too_long = F.raise_error(F.concat(F.lit(f"a configuration has more than {width} values: run "), "run_id"))
+    checked = F.when(F.size("hp") > width, too_long.cast("array<double>")).otherwise(F.col("hp"))
+    plain = [c for c in runs.columns if c != "hp"]
+    return runs.withColumn("hp", checked).select(
+        *plain, *[F.get("hp", F.lit(j)).alias(f"hp_{j}") for j in range(width)]
     )
 
 
 def flatten_nested_runs(
-    spark: SparkSession, path: str, width: int, whole_files: bool = False
+    spark: SparkSession, path: str, width: int | None = None, whole_files: bool = False, skip_bad: bool = False
 ) -> DataFrame:
-    return flatten_documents(read_documents(spark, path, whole_files), width)
+    """All runs of the documents, with a column per configuration value."""
+    return widen(flatten_documents(read_documents(spark, path, whole_files), skip_bad), width)
 
 
-def explode_manifest(documents: DataFrame) -> DataFrame:
+def explode_manifest(documents: DataFrame, skip_bad: bool = False) -> DataFrame:
     """``{space: [dataset, ...]}`` documents to (space, dataset) rows."""
     return (
-        documents.select(F.from_json("value", schema.MANIFEST).alias("spaces"))
+        _documents(documents)
+        .select(_parsed(schema.MANIFEST, skip_bad).alias("spaces"))
         .select(F.explode("spaces").alias("search_space_id", "datasets"))
         .select("search_space_id", F.explode("datasets").alias("dataset_id"))
         .select(F.col("search_space_id").cast("int"), F.col("dataset_id").cast("int"))
     )
 
 
-def explode_split_manifest(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    return explode_manifest(read_documents(spark, path, whole_files))
+def explode_split_manifest(
+    spark: SparkSession, path: str, whole_files: bool = True, skip_bad: bool = False
+) -> DataFrame:
+    return explode_manifest(read_documents(spark, path, whole_files), skip_bad)
 
 
 def nest_runs(runs: DataFrame, document: str, hp_columns: list[str], order: list[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Records of experiment runs: an append-only long table and its wide view."""
+"""Records of experiment runs: an append-only long table, its search and its wide view."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from runscope.sources import schema
 
-PARAM, METRIC, ARTIFACT = "param", "metric", "artifact"
+PARAM, METRIC, ARTIFACT, STATUS = "param", "metric", "artifact", "status"
 
 
 def long_records(
@@ -16,8 +16,10 @@ def long_records(
     params: dict[str, Column] | None = None,
     metrics: dict[str, Column] | None = None,
     artifacts: dict[str, Column] | None = None,
+    status: Column | None = None,
+    ts: Column | None = None,
 ) -> DataFrame:
-    """One row per logged value, for every row of ``results``."""
+    """One row per logged value, for every row of ``results``; ``ts`` is now unless given."""
     text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
     entry = lambda kind, key, s, n: F.struct(
         F.lit(kind).alias("kind"), F.lit(key).alias("key"), s.alias("value_str"), n.alias("value_num")
@@ -25,14 +27,25 @@ def long_records(
     entries = [entry(PARAM, k, v.cast("string"), number) for k, v in (params or {}).items()]
     entries += [entry(METRIC, k, text, v.cast("double")) for k, v in (metrics or {}).items()]
     entries += [entry(ARTIFACT, k, v.cast("string"), number) for k, v in (artifacts or {}).items()]
+    if status is not None:
+        entries.append(entry(STATUS, STATUS, status.cast("string"), number))
     return results.select(
         run_id.cast("string").alias("run_id"),
         run_name.cast("string").alias("run_name"),
-        F.current_timestamp().alias("ts"),
+        (F.current_timestamp() if ts is None else ts.cast("timestamp")).alias("ts"),
         F.inline(F.array(*entries)),
     ).select(*schema.RUN_LOG.names)
 
 
+def metric_records(log: DataFrame, run_id: Column, run_name: Column, key: Column, value: Column, ts: Column) -> DataFrame:
+    """Records of metrics whose names are data."""
+    return log.select(
+        run_id.cast("string").alias("run_id"), run_name.cast("string").alias("run_name"), F.lit(METRIC).alias("kind"),
+        key.cast("string").alias("key"), F.lit(None).cast("string").alias("value_str"),
+        value.cast("double").alias("value_num"), ts.cast("timestamp").alias("ts"),
+    )
+
+
 def log_run(records: DataFrame, path: str) -> None:
     records.write.mode("append").parquet(path)
 
@@ -41,11 +54,38 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.RUN_LOG).parquet(path)
 
 
-def search_runs(log: DataFrame, run: str, key: str, value: str, order: list[str], keys: list[str]) -> DataFrame:
-    """One row per run with a ``metrics.<key>`` column holding the latest value of each key.
+def search_runs(log: DataFrame) -> DataFrame:
+    """One row per run with its name, status, start time and the latest value of everything logged.
 
-    The keys are given, so Spark pivots in one pass and combines before the shuffle.
+    ``metrics``, ``params`` and ``artifacts`` are maps, so no key needs to be known beforehand and none
+    is lost. The first grouping keeps one value per run and key and combines before the shuffle,
+    however long a run's log is; the second one only gathers those. Of records of the same time the
+    larger value counts.
     """
-    latest = F.max_by(value, F.struct(*order))
-    wide = log.groupBy(run).pivot(key, keys).agg(latest)
-    return wide.select(run, *[F.col(f"`{k}`").alias(f"metrics.{k}") for k in keys])
+    by_key = log.groupBy("run_id", "kind", "key").agg(
+        F.max(F.struct("ts", "value_num", "value_str")).alias("last"),
+        F.min("ts").alias("start"),
+        F.max(F.struct("ts", "run_name")).alias("named"),
+    )
+
+    def collected(kind: str, value: str) -> Column:
+        mine = F.collect_list(F.when(F.col("kind") == kind, F.struct("key", F.col(f"last.{value}").alias("value"))))
+        return F.map_from_entries(F.sort_array(mine))
+
+    return by_key.groupBy("run_id").agg(
+        F.max("named")["run_name"].alias("run_name"),
+        F.max(F.when(F.col("kind") == STATUS, F.col("last")))["value_str"].alias("status"),
+        F.min("start").alias("start_time"),
+        collected(PARAM, "value_str").alias("params"),
+        collected(METRIC, "value_num").alias("metrics"),
+        collected(ARTIFACT, "value_str").alias("artifacts"),
+    )
+
+
+def metric_columns(found: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """``metrics`` as columns ``metrics.<key>``; without ``keys`` those of all runs, found by one aggregation."""
+    if keys is None:
+        names = found.select(F.explode(F.map_keys("metrics")).alias("key")).distinct().orderBy("key")
+        keys = [r["key"] for r in names.collect()]
+    plain = [c for c in found.columns if c != "metrics"]
+    return found.select(*plain, *[F.try_element_at("metrics", F.lit(k)).alias(f"metrics.{k}") for k in keys])

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from runscope.functions import draws, names
-from runscope.functions.measures import bin_of, gain_percent, gap_percent, lr_band, mean, speed_label, spread
+from runscope.functions.measures import bin_of, gain_percent, gap_percent, highest, lr_band, mean, speed_label, spread
 
 
 def exact(values, digits):
@@ -64,6 +64,22 @@ def test_speed_labels(spark):
         assert row["got"] == row["want"]
 
 
+def test_speed_labels_from_trial_0(spark):
+    cases = [(24, 10, "2.4x faster"), (0, 0, "1.0x"), (0, 3, "0.3x slower"), (5, 0, "6.0x faster")]
+    df = spark.createDataFrame(cases, "base long, trials long, want string")
+    for row in df.withColumn("got", speed_label(F.col("base"), F.col("trials"), base=0)).collect():
+        assert row["got"] == row["want"]
+
+
+def test_means_survive_nan_and_size(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (2.0,), (None,)], "v double")
+    row = df.agg(mean("v", 4).alias("m"), highest("v").alias("h"), spread("v").alias("s")).first()
+    assert (row["m"], row["h"]) == (1.5, 2.0) and row["s"] == pytest.approx(0.7071)
+    big = spark.range(10_000_000).select(F.lit(3.6e9).alias("v")).agg(mean("v", 4).alias("m")).first()
+    assert big["m"] == 3.6e9
+    assert df.where("isnan(v)").agg(mean("v", 4).alias("m")).first()["m"] is None
+
+
 def test_lr_band_limits_are_strict(spark):
     df = spark.createDataFrame([(0.0009,), (0.001,), (0.0099,), (0.01,)], "r double")
     assert [r[0] for r in df.select(lr_band("r")).collect()] == ["low", "medium", "medium", "high"]

@@ -123,3 +123,22 @@ def test_top_runs_per_space(runs):
 def test_warm_start_pool_skips_the_target(runs):
     found = warm_start_pool(runs, target=1, n_spaces=3, k=3).collect()
     assert len(found) == 9 and sorted({r["search_space_id"] for r in found}) == [0, 2, 3]
+
+
+def test_best_runs_have_an_accuracy(spark):
+    rows = [(1, f"r{i}", a) for i, a in enumerate([0.9, 0.89, 0.88, 0.87, 0.86, None, None, float("nan")])]
+    runs = spark.createDataFrame(rows, "search_space_id int, run_id string, val_accuracy double")
+    for c in ("learning_rate", "weight_decay", "epochs", "dropout"):
+        runs = runs.withColumn(c, F.lit(0.0))
+    assert [r["run_id"] for r in top_runs_per_space(runs).orderBy("rank").collect()] == ["r0", "r1", "r2"]
+    steps = top_per_group_by_step(
+        runs.where("not isnan(val_accuracy) or val_accuracy is null"), ["search_space_id"], F.floor(-F.col("val_accuracy") * 10), [F.desc("val_accuracy"), "run_id"], 7, nulls_first=False
+    )
+    assert [r["run_id"] for r in steps.orderBy("rank").collect()] == ["r0", "r1", "r2", "r3", "r4", "r5", "r6"]
+
+
+def test_nan_is_neither_a_hit_nor_a_best_value(spark):
+    rows = [("m", i, v) for i, v in enumerate([float("nan"), 0.2, float("nan"), 0.95])]
+    trials = spark.createDataFrame(rows, "m string, i int, v double")
+    assert run.trials_to_target(trials, ["m"], ["i"], "v").first()["trials_to_target"] == 3
+    assert [r["best"] for r in run.best_so_far(trials, ["m"], ["i"], "v").orderBy("i").collect()] == [0.0, 0.2, 0.2, 0.95]

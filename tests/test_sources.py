@@ -13,25 +13,66 @@ NESTED = {
     "5527": {"31": {"X": [[0.5]], "y": [0.7]}, "32": {"X": [[0.5], [0.6], [0.7]], "y": [[0.25], None]}},
 }
 FLAT = {
-    ("4796_23_0", 4796, 23, 0.9, 0.1, 0.2),
-    ("4796_23_1", 4796, 23, 0.8, 0.3, 0.4),
-    ("5527_31_0", 5527, 31, 0.7, 0.5, None),
-    ("5527_32_0", 5527, 32, 0.25, 0.5, None),
-    ("5527_32_1", 5527, 32, None, 0.6, None),
+    (4796, 23, 0.9, 0.1, 0.2), (4796, 23, 0.8, 0.3, 0.4), (5527, 31, 0.7, 0.5, None), (5527, 32, 0.25, 0.5, None),
+    (5527, 32, None, 0.6, None),
 }
 
 
+def without_names(found):
+    return {tuple(r)[1:] for r in found.collect()}
+
+
 def test_nested_lines(spark, tmp_path):
     lines = [json.dumps({space: datasets}) for space, datasets in NESTED.items()]
-    (tmp_path / "runs.json").write_text("\n".join(lines))
-    assert {tuple(r) for r in nested.flatten_nested_runs(spark, str(tmp_path), 2).collect()} == FLAT
+    (tmp_path / "runs.json").write_text("\n".join(lines) + "\n\n")
+    found = nested.flatten_nested_runs(spark, str(tmp_path))
+    assert without_names(found) == FLAT and found.columns[-2:] == ["hp_0", "hp_1"]
 
 
 def test_nested_file_over_several_lines(spark, tmp_path):
     (tmp_path / "runs.json").write_text(json.dumps(NESTED, indent=2))
     found = nested.flatten_nested_runs(spark, str(tmp_path), 2, whole_files=True)
-    assert {tuple(r) for r in found.collect()} == FLAT
-    assert found.schema == schema.real_runs(2) or [f.dataType for f in found.schema] == [f.dataType for f in schema.real_runs(2)]
+    assert without_names(found) == FLAT
+    assert [f.dataType for f in found.schema] == [f.dataType for f in schema.real_runs(2)]
+    with pytest.raises(Exception, match="MALFORMED"):  # read line by line it is no JSON
+        nested.flatten_nested_runs(spark, str(tmp_path), 2).collect()
+
+
+def test_no_value_is_lost(spark, tmp_path):
+    (tmp_path / "runs.json").write_text('{"1": {"2": {"X": [[1, 2, 3, 4], [5]], "y": [[0.5], 0.25]}}}')
+    found = nested.flatten_nested_runs(spark, str(tmp_path))
+    assert without_names(found) == {(1, 2, 0.5, 1.0, 2.0, 3.0, 4.0), (1, 2, 0.25, 5.0, None, None, None)}
+    with pytest.raises(Exception, match="more than 2 values"):
+        nested.flatten_nested_runs(spark, str(tmp_path), 2).collect()
+
+
+def test_a_bad_document_stops_the_job_or_is_counted(spark, tmp_path):
+    good = json.dumps({"1": {"2": {"X": [[1]], "y": [0.5]}}})
+    (tmp_path / "runs.json").write_text(good + "\n" + good[:-9])
+    path, documents = str(tmp_path), nested.read_documents(spark, str(tmp_path))
+    with pytest.raises(Exception, match="MALFORMED"):
+        nested.flatten_nested_runs(spark, path, 1).collect()
+    assert nested.flatten_nested_runs(spark, path, skip_bad=True).count() == 1
+    assert nested.rejected_documents(documents).count() == 1
+    (tmp_path / "runs.json").write_text('{"1": ["2"]}\n{"1": ["3')
+    with pytest.raises(Exception, match="MALFORMED"):
+        nested.explode_split_manifest(spark, path, whole_files=False).collect()
+
+
+def test_names_are_unique_over_documents_and_copies(spark, tmp_path):
+    one = json.dumps({"1": {"2": {"X": [[1], [2]], "y": [0.5, 0.6]}}})
+    two = json.dumps({"1": {"2": {"X": [[3]], "y": [0.7]}}})
+    (tmp_path / "runs.json").write_text("\n".join([one, two, one]))
+    names = [r["run_id"] for r in nested.flatten_nested_runs(spark, str(tmp_path)).collect()]
+    assert len(names) == len(set(names)) == 5
+    again = nested.flatten_nested_runs(spark, str(tmp_path)).repartition(7)
+    assert {r["run_id"] for r in again.collect()} == set(names)
+
+
+def test_the_first_element_of_y_counts(spark, tmp_path):
+    (tmp_path / "runs.json").write_text('{"1": {"2": {"X": [[1], [2], [3], [4]], "y": [[null, 0.7], [], 0.5, null]}}}')
+    found = nested.flatten_nested_runs(spark, str(tmp_path)).orderBy("hp_0").collect()
+    assert [r["val_accuracy"] for r in found] == [None, None, 0.5, None]
 
 
 @pytest.mark.parametrize("number", [1e-05, -0.25, 1.0, 0, 12345.678901234567, 1e20])
@@ -131,12 +172,31 @@ def test_log_and_search(spark, tmp_path):
         tracking.long_records(results.where("id = 1"), F.col("id"), F.lit("demo"), metrics={"best": F.lit(0.95)}), path)
     log = tracking.read_log(spark, path)
     assert log.count() == 7
-    metrics = log.where("kind = 'metric'")
-    wide = tracking.search_runs(metrics, "run_id", "key", "value_num", ["ts"], ["best", "r2"])
+    found = tracking.search_runs(log)
+    wide = tracking.metric_columns(found.select("run_id", "metrics"), ["best", "r2"])
     assert wide.columns == ["run_id", "metrics.best", "metrics.r2"]
     assert {tuple(r) for r in wide.collect()} == {("1", 0.95, None), ("2", 0.8, None)}
     kept = flt.drop_empty_columns(wide, ["metrics.best", "metrics.r2"])
     assert kept.columns == ["run_id", "metrics.best"]
+    row = found.where("run_id = '1'").first()
+    assert row["params"] == {"top_k": "3"} and row["artifacts"] == {"plot": "p.png"} and row["run_name"] == "demo"
+
+
+def test_search_finds_every_key_and_the_state(spark, tmp_path):
+    path = str(tmp_path / "log")
+    events = spark.createDataFrame(
+        [(1, "retry", 5.0, "2024-01-01 00:00:02"), (1, "retry", 4.0, "2024-01-01 00:00:01"), (1, "odd key.x", 1.0, "2024-01-01 00:00:03"), (2, "view", 2.0, "2024-01-02 00:00:00")],
+        "id int, key string, value double, ts string",
+    ).withColumn("ts", F.to_timestamp("ts"))
+    tracking.log_run(tracking.metric_records(events, F.col("id"), F.lit("run"), F.col("key"), F.col("value"), F.col("ts")), path)
+    done = spark.createDataFrame([(1,)], "id int")
+    tracking.log_run(tracking.long_records(done, F.col("id"), F.lit("run"), status=F.lit("FINISHED")), path)
+    found = tracking.search_runs(tracking.read_log(spark, path))
+    got = {r["run_id"]: (r["metrics"], r["status"], str(r["start_time"])) for r in found.collect()}
+    assert got == {
+        "1": ({"retry": 5.0, "odd key.x": 1.0}, "FINISHED", "2024-01-01 00:00:01"), "2": ({"view": 2.0}, None, "2024-01-02 00:00:00"),
+    }
+    assert tracking.metric_columns(found.select("run_id", "metrics")).columns == ["run_id", "metrics.odd key.x", "metrics.retry", "metrics.view"]
 
 
 def test_all_null_rows(spark):
