@@ -34,12 +34,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from runscope.llm.quality_classifier import held_out
-from runscope.llm.texts import arrow_batch, arrow_schema, spaced_words, text_rows
-from runscope.session import written_table
+from runscope.llm.texts import arrow_batch, arrow_schema, packed_table, spaced_words, text_rows
 
 ORDER = 2
 MU = 4.0
-CHUNK_TOKENS = 400_000
+CHUNK_TOKENS = 600_000
 BUCKET_KEYS = 500_000
 
 # No word contains white space, so no word has these hashes' texts.
@@ -83,7 +82,7 @@ def chunked(docs: DataFrame, parts: int = 7, tokens: int = CHUNK_TOKENS) -> Data
             yield row()
 
     rows = docs.select(docs["doc_id"], held_out(docs["doc_id"], parts).alias("held"), docs["text"])
-    return written_table(text_rows(rows, "doc_id", "held").mapInArrow(run, _CHUNK), "lm-chunks")
+    return packed_table(text_rows(rows, "doc_id", "held").mapInArrow(run, _CHUNK), "lm-chunks")
 
 
 def _joined(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -182,7 +181,7 @@ def _answers(questions: DataFrame) -> DataFrame:
             out.append(arrow_batch([[-1], [level], [bucket], [[int(words.sum()), len(words)]]], schema))
         return pa.Table.from_batches(out)
 
-    return written_table(questions.groupBy("bucket", "level").applyInArrow(run, _TOLD), "lm-totals")
+    return packed_table(questions.groupBy("bucket", "level").applyInArrow(run, _TOLD), "lm-totals")
 
 
 def walk(grams: Grams, counts: list[np.ndarray], n: int, v: int, mu: float) -> tuple[np.ndarray, np.ndarray]:
