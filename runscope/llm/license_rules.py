@@ -235,7 +235,7 @@ blueoak-1.0.0 | 2 | blue | blue oak model licen[cs]e(?: 1 0 0)?
 hippocratic | 2 | hippocratic | hippocratic licen[cs]e(?: 2 1| 3 0)?
 json | 3 | evil | the software shall be used for good not evil
 ssh-openssh | 2 | openssh | openssh licen[cs]e
-openrail-m | 2 | openrail | (?:creativeml )?open ?rail ?m?(?: licen[cs]e)?
+openrail-m | 2 | openrail | (?:creativeml )?openrail(?: m)?(?: licen[cs]e)?
 rail | 2 | responsible | responsible ai licen[cs]e
 bigscience-rail | 2 | bigscience | bigscience (?:bloom )?rail(?: licen[cs]e)?
 llama-community | 2 | llama | llama (?:\d )*community licen[cs]e(?: agreement)?

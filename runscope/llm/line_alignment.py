@@ -172,21 +172,21 @@ def common_lines(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS)
 
 
 def clean(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents with all their columns, and ``_lines``, ``_removed``, ``_text``: number of
+    """The documents with all their columns, and ``_runscope_lines``, ``_runscope_removed``, ``_runscope_text``: number of
     lines, number of removed lines, text without them."""
     gone = written_table(common_lines(docs, rare, min_words), "common-lines")
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("key").alias("_gone"), F.col("ranges").alias("_ranges"))
-    keyed = docs.withColumn("_key", text_key(docs["text"]))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_gone"))
+    gone = gone.select(F.col("doc_id").alias("_runscope_id"), F.col("key").alias("_runscope_gone"), F.col("ranges").alias("_runscope_ranges"))
+    keyed = docs.withColumn("_runscope_key", text_key(docs["text"]))
+    same = F.col("doc_id").eqNullSafe(F.col("_runscope_id")) & (F.col("_runscope_key") == F.col("_runscope_gone"))
     cut = F.split("text", "\n", -1)
-    left = F.filter(cut, lambda line, i: ~F.exists("_ranges", lambda r: (r["start"] <= i) & (i < r["end"])))
-    joined = keyed.join(gone, same, "left").withColumn("_left", F.when(F.col("_ranges").isNotNull(), left))
-    lost = F.col("_ranges").isNotNull()
+    left = F.filter(cut, lambda line, i: ~F.exists("_runscope_ranges", lambda r: (r["start"] <= i) & (i < r["end"])))
+    joined = keyed.join(gone, same, "left").withColumn("_runscope_left", F.when(F.col("_runscope_ranges").isNotNull(), left))
+    lost = F.col("_runscope_ranges").isNotNull()
     return joined.select(
         *docs.columns,
-        F.coalesce(F.size(cut), F.lit(0)).cast("long").alias("_lines"),
-        F.when(lost, F.size(cut) - F.size("_left")).otherwise(0).cast("long").alias("_removed"),
-        F.when(lost, F.array_join("_left", "\n")).otherwise(F.col("text")).alias("_text"),
+        F.coalesce(F.size(cut), F.lit(0)).cast("long").alias("_runscope_lines"),
+        F.when(lost, F.size(cut) - F.size("_runscope_left")).otherwise(0).cast("long").alias("_runscope_removed"),
+        F.when(lost, F.array_join("_runscope_left", "\n")).otherwise(F.col("text")).alias("_runscope_text"),
     )
 
 
@@ -195,17 +195,17 @@ def summarise(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) ->
     done = clean(docs.select("doc_id", "text"), rare, min_words)
     return done.select(
         "doc_id",
-        F.col("_lines").alias("n_lines"),
-        F.col("_removed").alias("n_removed"),
-        F.coalesce(F.length("_text"), F.lit(0)).cast("long").alias("n_chars"),
-        F.sha2(F.coalesce("_text", F.lit("")), 256).alias("text_sha256"),
+        F.col("_runscope_lines").alias("n_lines"),
+        F.col("_runscope_removed").alias("n_removed"),
+        F.coalesce(F.length("_runscope_text"), F.lit(0)).cast("long").alias("n_chars"),
+        F.sha2(F.coalesce("_runscope_text", F.lit("")), 256).alias("text_sha256"),
     )
 
 
 def drop_common_lines(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with their remaining text; those of which nothing but blanks remains go."""
     done = clean(docs, rare, min_words)
-    emptied = (F.col("_removed") > 0) & (F.trim(F.regexp_replace("_text", r"[\x09-\x0D]", " ")) == "")
-    return done.where(~emptied | F.col("_text").isNull()).select(
-        *[(F.col("_text") if c == "text" else F.col(c)).alias(c) for c in docs.columns]
+    emptied = (F.col("_runscope_removed") > 0) & (F.trim(F.regexp_replace("_runscope_text", r"[\x09-\x0D]", " ")) == "")
+    return done.where(~emptied | F.col("_runscope_text").isNull()).select(
+        *[(F.col("_runscope_text") if c == "text" else F.col(c)).alias(c) for c in docs.columns]
     )

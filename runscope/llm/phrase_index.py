@@ -246,7 +246,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, length: int = WINDOW) -
     their text are judged each for itself.
     """
     texts = docs.select(text_key(docs["text"]).alias("doc_id"), "text")
-    found = contamination(texts, items, length).where("contaminated").select(F.col("doc_id").alias("_dirty"))
+    found = contamination(texts, items, length).where("contaminated").select(F.col("doc_id").alias("_runscope_dirty"))
     dirty = written_table(found.distinct(), "contaminated")
-    keyed = docs.withColumn("_key", text_key(docs["text"]))
-    return keyed.join(dirty, F.col("_key") == F.col("_dirty"), "left_anti").select(*docs.columns)
+    keyed = docs.withColumn("_runscope_key", text_key(docs["text"]))
+    return keyed.join(dirty, F.col("_runscope_key") == F.col("_runscope_dirty"), "left_anti").select(*docs.columns)

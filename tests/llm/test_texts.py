@@ -1,0 +1,295 @@
+"""Operators on single texts: pieces, rules, licences, language model, classifier, secrets, personal data."""
+
+import itertools
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+import sentencepiece
+from conftest import words
+from hypothesis import given, settings, strategies as st
+
+import brute
+from runscope.llm import (
+    language_model as lm,
+    license_rules,
+    licenses,
+    personal_data as pd_,
+    quality_classifier as qc,
+    quality_rules as qr,
+    secrets,
+    sentence_pieces as sp,
+)
+from runscope.llm.piece_lattice import BLANK, Lattices
+
+# --- pieces ------------------------------------------------------------------------------
+
+PIECES = {p: (i + 300, -float(s)) for i, (p, s) in enumerate(
+    [("a", 9), ("b", 8), ("ab", 7), ("ba", 6), ("aba", 11), (BLANK, 5), (BLANK + "a", 4), (BLANK + "ab", 10), ("bb", 3)]
+)}
+
+
+def all_segmentations(lattices, text):
+    """Every way to cover the marked text with pieces, as scores in order."""
+    marked = "".join(BLANK + w for w in text.split(" "))
+    pieces = {p: s for p, (_, s) in PIECES.items()}
+    unknown = min(pieces.values()) - 10
+
+    def ways(rest):
+        if not rest:
+            yield 0.0
+        for n in range(1, len(rest) + 1):
+            score = pieces.get(rest[:n], unknown if n == 1 else None)
+            if score is not None:
+                yield from (score + s for s in ways(rest[n:]))
+
+    return sorted(ways(marked), reverse=True)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text("ab c", min_size=1, max_size=9), st.integers(1, 6))
+def test_n_best_equals_all_segmentations(text, n):
+    lattices = Lattices(PIECES, list(range(256)))
+    found = lattices.segment(text, n)
+    assert [s for s, _ in found] == all_segmentations(lattices, text)[:n]
+    assert len({tuple(ids) for _, ids in found}) == len(found)
+    assert lattices.best_and_scores(text, n) == (found[0][1], [s for s, _ in found])
+
+
+def test_n_best_equals_the_library(spark):
+    """The same pieces and scores in a model of the kind whose N-best search the library has."""
+    raw = open(sp.MODEL, "rb").read()
+    for m in re.finditer(rb"\x18\x02", raw[-2000:]):
+        place = len(raw) - 2000 + m.start()
+        other = raw[:place] + b"\x18\x01" + raw[place + 2 :]
+        try:
+            library = sentencepiece.SentencePieceProcessor(model_proto=other)
+            if len(library.nbest_encode_as_ids("Hello", 3)) == 3:
+                break
+        except Exception:  # noqa: BLE001  another field of that value
+            continue
+    value = sp.vocabulary(spark).value
+    lattices = Lattices(value["pieces"], value["bytes"])
+    for text in ("Hello world", "the cat sat on the mat", "internationalisation of data", "Straße über Äpfel"):
+        scores = [sum(model_score(value, ids)) for ids in library.nbest_encode_as_ids(text, 4)]
+        assert [s for s, _ in lattices.segment(text, 4)] == scores
+
+
+def model_score(value, ids):
+    by_id = {i: s for i, s in value["pieces"].values()}
+    return [by_id[i] for i in ids]
+
+
+def test_pieces_round_trip(spark, frame, odd_rows):
+    shared = sp.vocabulary(spark)
+    docs = frame(odd_rows)
+    back = sp.decode(sp.encode(docs, shared), shared).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(((r["doc_id"], r["text"]) for r in back), key=key) == sorted(((i, t or "") for i, t in odd_rows), key=key)
+    assert sp.summarise(docs, shared).where("not round_trip").count() == 0
+    several = sp.encode_n_best(docs, shared, 3).collect()
+    for found in (r["segmentations"] for r in several):
+        assert 1 <= len(found) <= 3 and [x["score"] for x in found] == sorted((x["score"] for x in found), reverse=True)
+    long = next(r["segmentations"] for r in several if r["doc_id"] == 6)
+    assert len(long) == 3
+    assert sp.summarise(frame([]), shared).count() == 0
+
+
+# --- rules -------------------------------------------------------------------------------
+
+
+def test_binomial_tail_equals_the_sum():
+    for n, p in ((1, 0.3), (20, 0.1), (300, 0.02)):
+        for k in range(0, int(n * p) + 1):
+            if k < n * p:
+                want = sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1))
+                assert math.isclose(qr.binomial_tail(k, n, p), want, rel_tol=1e-9)
+    assert qr.binomial_tail(5, 10, 0.5) == 1.0 and qr.binomial_tail(0, 0, 0.1) == 1.0
+
+
+def test_cutoffs_stop_at_the_first_failed_test():
+    assert qr.certified([0, 0, 0], 5000, 0.005, 0.001) == 3
+    assert qr.certified([0, 40, 0], 5000, 0.005, 0.001) == 1
+    assert qr.best_cutoff([0, 1, 40], [3, 9, 99], 5000, 0.005, 0.001) == 1
+    assert qr.best_cutoff([0, 0], [0, 0], 5000, 0.005, 0.001) is None
+    assert qr.best_cutoff([0], [5], 100, 0.005, 0.001) is None
+
+
+def test_text_counts_equal_brute_force(spark, frame, odd_rows):
+    rng = random.Random(1)
+    rows = odd_rows + [(100 + i, "\n".join(" ".join(words(rng, 12, 9)) + rng.choice(["", " #", "<é>"]) for _ in range(8))) for i in range(20)]
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    got = qr.apply_rules(frame(rows), labels).collect()
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    key = lambda r: (str(r[0]), r[1:])
+    want = [(i, *brute.text_counts(t)) for i, t in rows]
+    assert sorted(((r["doc_id"], *(r[c] for c in columns)) for r in got), key=key) == sorted(want, key=key)
+    assert all(r["kept"] != r["base_failed"] for r in got)
+    assert qr.apply_rules(frame([]), labels).count() == 0
+
+
+def test_rules_refuse_bad_and_spare_good_documents(spark, frame):
+    rng = random.Random(4)
+    good = [(2 * i, " ".join(words(rng, 60, 10_000))) for i in range(300)]
+    bad = [(2 * i + 1000, " ".join(w + "###" for w in words(rng, 60, 10_000))) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i < 1000), 0) for i, _ in good + bad], "doc_id bigint, quality int, toxic int")
+    got = qr.apply_rules(frame(good + bad), labels, alpha=0.05)
+    assert got.where("kept").count() == 300
+    assert got.where("not kept and refused_by like '%symbols_per_word%'").count() == 60
+    assert qr.apply_rules(frame(good + bad), labels, alpha=0.001).where("kept").count() == 360
+
+
+# --- licences ----------------------------------------------------------------------------
+
+
+def test_every_rule_compiles_and_needs_its_keyword():
+    assert len(license_rules.RULES) > 200
+    for label, priority, keyword, expression in license_rules.RULES:
+        re.compile(expression)
+        assert priority in licenses.WEIGHTS and brute.plain(keyword) == [keyword], label
+        # The keyword is a word of the expression, or the expression allows no match without it.
+        assert keyword in re.sub(r"licen\[cs\]e", "license", expression), (label, keyword)
+
+
+def test_contained_matches_are_suppressed():
+    found = [(0, 10, 1, 5, "low"), (2, 8, 2, 4, "high"), (0, 10, 1, 6, "later"), (3, 5, 1, 0, "inside"), (8, 12, 1, 1, "over")]
+    assert [(x[2], x[0]) for x in licenses.unsuppressed(found)] == [("low", 0), ("high", 2), ("over", 8)]
+    rng = random.Random(0)
+    for _ in range(200):
+        items = [(s, s + rng.randrange(1, 6), rng.randrange(1, 4), k, f"l{k}") for k, s in enumerate(rng.choices(range(10), k=7))]
+        want = {
+            x[4] for x in items
+            if not any(
+                y[0] <= x[0] and x[1] <= y[1] and y[2] >= x[2]
+                and ((y[0], y[1]) != (x[0], x[1]) or y[2] > x[2] or y[3] < x[3])
+                for y in items if y is not x
+            )
+        }
+        assert {x[2] for x in licenses.unsuppressed(items)} == want
+
+
+TEXTS = [
+    "Licensed under CC BY-NC 4.0.", "CC BY cc-by\nALL RIGHTS  reserved. all rights reserved", "the GNU General Public License, version 3 or so",
+    "Licensed under the Apache License, Version 2.0 (the License)", "general public licence", "xcc by", "cc byx", "cc, by!", "nothing at all",
+]
+
+
+def test_licences_equal_brute_force(frame, odd_rows):
+    rows = list(enumerate(TEXTS, 100)) + odd_rows
+    got = licenses.find_licenses(frame(rows)).collect()
+    columns = ("n_words", "n_base", "first_word", "last_word", "base_labels")
+    key = lambda r: (str(r[0]), str(r))
+    assert sorted(((r["doc_id"], *(r[c] for c in columns)) for r in got), key=key) == sorted(
+        ((i, *brute.base_licenses(t)) for i, t in rows), key=key
+    )
+    by = {r["doc_id"]: r for r in got}
+    assert by[100]["labels"] == "cc-by,cc-by-nc-4.0,licence-hint"
+    assert by[102]["labels"] == "gpl,gpl-3.0" and by[103]["labels"].startswith("apache-2.0")
+    assert all(0 <= r["score"] <= 1 and set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) for r in got)
+    assert licenses.find_licenses(frame([])).count() == 0
+
+
+# --- language model ----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores_equal_a_walk_along_the_automaton(frame, order):
+    rng = random.Random(order)
+    docs = {i: " ".join(words(rng, rng.randrange(0, 40), 15)) for i in range(60)} | {100: None, 101: "", 102: "never seen words"}
+    got = lm.score_documents(frame(docs.items()), order=order, tokens=200)
+    want = brute.language_model(docs, order, lm.MU)
+    for r in got.collect():
+        held, n, known, train, base, score = want[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held, n, known, train)
+        assert math.isclose(r["base_score"], base, rel_tol=1e-9) and math.isclose(r["score"], score, rel_tol=1e-9)
+
+
+def test_language_model_odd_rows(frame, odd_rows):
+    got = lm.score_documents(frame(odd_rows)).collect()
+    assert len(got) == len(odd_rows)
+    assert {r["n_tokens"] for r in got if r["doc_id"] in (1, 2, 3)} == {1}
+    assert lm.score_documents(frame([])).count() == 0
+
+
+# --- classifier --------------------------------------------------------------------------
+
+
+def test_ranking_separates_strengths():
+    rng = np.random.default_rng(0)
+    good = rng.random(400) < 0.8
+    x = np.column_stack([good + rng.normal(0, 0.2, 400), rng.normal(size=400), np.ones(400)])
+    model = qc.learn(x, good)
+    assert np.mean((model.scores(x) >= qc.THRESHOLD) == good) > 0.97
+    assert qc.learn(x[good], good[good]) is None
+
+
+def test_held_out_accuracy_and_defined_cases(spark, frame, odd_rows):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = qc.classify(docs, labels)
+    held = got.join(labels, "doc_id").where("held_out")
+    assert held.where("predicted = quality").count() >= 0.93 * held.count()
+    assert got.count() == docs.count() and got.where("predicted != cast(score >= 0.7 as int) or score < 0 or score > 1").count() == 0
+    odd = frame(odd_rows)
+    assert qc.classify(odd, labels.limit(0)).where("score = 0.7 and predicted = 1").count() == len(odd_rows)
+    assert qc.keep_good(odd, labels.limit(0)).columns == odd.columns
+    assert qc.classify(frame([]), labels).count() == 0
+    kept = qc.keep_good(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == got.where("predicted = 1").count()
+
+
+# --- secrets and personal data -----------------------------------------------------------
+
+ALPHABET = ["password", "token", "secret", "API_key", "apikey", "=", ":", " ", '"', "abc", "abcdef0", "AKIA", "ABCDEFGHIJKLMNOP", "9", "0123456789abcdef01234567", "é", "\n", "\U0001f600"]
+NUMBERS = ["a.b", "@", "x-y", ".", "com", "1", "22", "255", "256", "4111111111111111", "4111 1111", "-", " ", "+", "(0)", "999", "é", "\n", "%", "_", "\U0001f600"]
+
+
+def mixed_texts(parts, n=400, seed=0):
+    rng = random.Random(seed)
+    return [(i, "".join(rng.choices(parts, k=rng.randrange(1, 14)))) for i in range(n)]
+
+
+def test_base_secrets_equal_brute_force(frame, odd_rows):
+    rows = mixed_texts(ALPHABET) + odd_rows + [(900, "secret: token: abcdefgh"), (901, "token=ab token=abcdefg"), (902, "AKIAAKIA" + "A" * 30)]
+    for r in secrets.find_secrets(frame(rows)).collect():
+        texts = [t for i, t in rows if i == r["doc_id"]]
+        want = [brute.secrets(t) for t in texts]
+        digests = [(brute.sha(brute.as_text(w)), *(sum(s[2] == k for s in w) for k in ("assign", "access", "hex"))) for w in want]
+        assert (r["base_sha256"], r["n_assign"], r["n_access"], r["n_hex"]) in digests
+        assert any(set(brute.as_text(w).split(",")) <= set(r["spans"].split(",")) for w in want)
+    assert secrets.find_secrets(frame([])).count() == 0
+
+
+def test_weak_parts_need_their_complement(frame):
+    key = "wJalrXUtnFEMIbPxRfiCYEXAMPLEKEYabcd0"
+    rows = [
+        (1, f"user_id=alice then {key}"), (2, key), (3, "user_id=alice"), (4, f"user_id=alice {'x ' * 400} {key}"),
+        (5, "https://db.example.org/x and pwd: hunter2"), (6, "https://db.example.org/x"), (7, "AKIA" + "B" * 16 + f" {key}"), (7, "AKIA" + "B" * 16 + f" {key}"),
+    ]
+    got = [(r["doc_id"], r["n_linked"]) for r in secrets.find_secrets(frame(rows)).orderBy("doc_id").collect()]
+    assert got == [(1, 2), (2, 0), (3, 0), (4, 0), (5, 2), (6, 0), (7, 1), (7, 1)]
+
+
+def test_base_personal_data_equals_brute_force(frame, odd_rows):
+    rows = mixed_texts(NUMBERS) + odd_rows + [(900, "a@b.c._x@d.e%f@g.hh"), (901, "1.2.3.4.5.6.7.8 0001.2.3.255"), (902, "+1 (988) 555-2485 +49 30 1234 5678.")]
+    for r in pd_.find_personal_data(frame(rows)).collect():
+        want = [brute.personal_data(t) for i, t in rows if i == r["doc_id"]]
+        assert r["base_sha256"] in [brute.sha(brute.as_text(w)) for w in want]
+        assert any(set(brute.as_text(w).split(",")) <= set(r["spans"].split(",")) for w in want)
+    assert pd_.find_personal_data(frame([])).count() == 0
+
+
+def test_long_runs_are_searched_in_linear_time(frame):
+    long = ["a" * 300_000, "1" * 300_000, "a." * 100_000 + "@", "x@" + "b." * 100_000, "+" * 100_000 + "1 " * 100_000, "a,b" * 100_000]
+    assert pd_.find_personal_data(frame(list(enumerate(long)))).count() == len(long)
+    assert secrets.find_secrets(frame(list(enumerate(long)))).count() == len(long)
+
+
+def test_patterns_of_seeds_discover_other_identifiers(frame):
+    known = [(i, f"text {i} please contact user{i}@mail.example.com now") for i in range(30)]
+    rows = known + [(100, "so please contact ID-778812-K today"), (101, "the room ID-990017-K is open"), (102, "and please contact AKIA" + "C" * 16)]
+    got = {r["doc_id"]: r for r in pd_.find_personal_data(frame(rows)).collect()}
+    assert got[100]["spans"] == "context:18:29" and got[100]["n_context"] == 1
+    assert got[101]["spans"] == "" and got[102]["spans"] == ""
