@@ -20,7 +20,7 @@ HEADLINE = [
     "dataset_profiles", "top_config_profile", "space_optimizer_summary", "space_summary", "space_by_accuracy",
     "batch_size_summary", "optimizer_summary", "lr_band_summary", "dataset_distribution", "runs_per_space",
     # sources and sinks
-    "scan_runs", "write_runs", "scan_runs_csv", "flatten_nested_runs", "generate_runs", "search_runs",
+    "scan_runs", "write_runs", "scan_runs_csv", "flatten_nested_runs", "search_runs",
     # recommender
     "nearest_profiles", "recommend_configs", "hit_rate",
     # features and models
