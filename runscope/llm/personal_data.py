@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from runscope.llm.spans import as_spans, as_text, count_of, in_order, matches, no_spans, row_key
+from runscope.llm.spans import as_text, count_of, in_order, matches, no_spans, row_key
 from runscope.session import written_table
 
 ROUNDS = 2
@@ -48,7 +48,6 @@ TOKEN = (
     r"(?<![^\s(\[\"',;:])(?=(?:[^\s()\[\]\"',;0-9]*+[0-9]){3})[A-Za-z0-9][^\s()\[\]\"',;]{4,}+"
 )
 SECRET = r"^AKIA[A-Z0-9]{16,}|^[0-9a-f]{24,}$|="
-_BEFORE = 80
 
 
 def _digits(value: Column) -> Column:
@@ -73,57 +72,48 @@ def _small_parts(value: Column) -> Column:
     return F.forall(F.split(value, r"\."), small)
 
 
-def base_spans(text: Column) -> Column:
+_MENTION = "array<struct<start:int,rank:int,kind:string,end:int,value:string,pattern:string,seed:boolean>>"
+
+
+def _mentions(found: Column, kind: str) -> Column:
+    """Matches as mentions of a kind: their span, value and pattern, the last two words before them in lower case."""
+
+    def mention(m: Column) -> Column:
+        words = F.regexp_extract(F.lower(m["before"]), r"(\S+\s+)?\S+\s*$", 0)
+        return F.struct(
+            m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"),
+            m["end"].alias("end"), m["value"].alias("value"), F.regexp_replace(words, r"\s+", " ").alias("pattern"),
+            F.lit(kind != "context").alias("seed"),
+        )
+
+    return F.transform(found, mention).cast(_MENTION)
+
+
+def base_mentions(text: Column) -> Column:
+    """The four base kinds in order."""
+
     def only(mark: str, kind: str, found: Column) -> Column:
-        spans = as_spans(found, kind, KINDS.index(kind))
-        return F.when(F.contains(text, F.lit(mark)), spans).otherwise(no_spans()) if mark else spans
+        nothing = F.array().cast(_MENTION)
+        return F.when(F.contains(text, F.lit(mark)), _mentions(found, kind)).otherwise(nothing)
 
     phones = F.filter(matches(text, PHONE), lambda m: F.length(_digits(m["value"])).between(9, 15))
     return in_order(
         only("@", "email", matches(text, EMAIL)),
         only(".", "ip", F.filter(matches(text, IP), lambda m: _small_parts(m["value"]))),
-        only("", "card", F.filter(matches(text, CARD), lambda m: _luhn(m["value"]))),
+        _mentions(F.filter(matches(text, CARD), lambda m: _luhn(m["value"])), "card"),
         only("+", "phone", phones),
     )
 
 
-def _pattern(text: Column, start: Column) -> Column:
-    """The last two words before ``start``, in lower case."""
-    begin = F.greatest(start - _BEFORE, F.lit(0))
-    before = F.lower(F.substring(text, begin + 1, start - begin))
-    return F.regexp_replace(F.regexp_extract(before, r"(\S+\s+)?\S+\s*$", 0), r"\s+", " ")
-
-
-def _mentions(text: Column, base: Column) -> Column:
-    """Base entities and candidate tokens: ``array<struct<start, end, value, pattern, seed>>``."""
-
-    def mention(start: Column, end: Column, value: Column, seed: Column) -> Column:
-        return F.struct(
-            start.alias("start"), end.alias("end"), value.alias("value"), _pattern(text, start).alias("pattern"),
-            seed.alias("seed"),
-        )
-
-    seeds = F.transform(
-        base,
-        lambda s: mention(
-            s["start"], s["end"], F.substring(text, s["start"] + 1, s["end"] - s["start"]), F.lit(True)
-        ),
-    )
+def _candidates(text: Column, base: Column) -> Column:
+    """Identifier-like tokens outside the base entities, without closing punctuation."""
     free = F.filter(
         matches(text, TOKEN),
         lambda m: ~F.exists(base, lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])),
     )
-    others = F.transform(free, lambda m: mention(m["start"], m["end"], F.rtrim(m["value"], F.lit(".:!?")), F.lit(False)))
-    return F.concat(
-        seeds,
-        F.transform(
-            others,
-            lambda m: F.struct(
-                m["start"].alias("start"), (m["start"] + F.length(m["value"])).alias("end"), m["value"].alias("value"),
-                m["pattern"].alias("pattern"), m["seed"].alias("seed"),
-            ),
-        ),
-    )
+    trimmed = F.transform(free, lambda m: m.withField("value", F.rtrim(m["value"], F.lit(".:!?"))))
+    ended = F.transform(trimmed, lambda m: m.withField("end", m["start"] + F.length(m["value"])))
+    return _mentions(ended, "context")
 
 
 def accepted_values(
@@ -171,25 +161,23 @@ def find_personal_data(
     serve the graph and the result.
     """
     text = F.coalesce(docs["text"], F.lit(""))
-    raw = docs.select(docs["doc_id"], row_key(text).alias("key"), text.alias("text"), base_spans(text).alias("base"))
-    raw = raw.select("doc_id", "key", "base", _mentions(F.col("text"), F.col("base")).alias("mentions"))
+    raw = docs.select(docs["doc_id"], row_key(text).alias("key"), text.alias("text"), base_mentions(text).alias("base"))
+    raw = raw.select("doc_id", "key", "base", _candidates(F.col("text"), F.col("base")).alias("others"))
     found = written_table(raw, "pii-mentions")
-    mentions = found.select("doc_id", "key", F.explode("mentions").alias("m"))
+    mentions = found.select("doc_id", "key", F.explode(F.concat("base", "others")).alias("m"))
     edges = mentions.groupBy("m.pattern", "m.value", "m.seed").agg(F.count(F.lit(1)).alias("n"))
     accepted = accepted_values(edges, rounds, support, confidence)
-    context = F.struct(
-        F.col("m.start").alias("start"), F.lit(KINDS.index("context")).alias("rank"), F.lit("context").alias("kind"),
-        F.col("m.end").alias("end"),
-    )
+    span = lambda m: F.struct(*[m[c].alias(c) for c in ("start", "rank", "kind", "end")])
     extra = (
         mentions.where(~F.col("m.seed"))
         .join(accepted.withColumnRenamed("value", "_value"), F.col("m.value") == F.col("_value"), "left_semi")
         .groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-        .agg(F.collect_set(context).alias("extra"))
+        .agg(F.collect_set(span(F.col("m"))).alias("extra"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     more = F.coalesce("extra", no_spans())
-    return found.join(extra, same, "left").select(
+    joined = found.withColumn("base", F.transform("base", span)).join(extra, same, "left")
+    return joined.select(
         "doc_id",
         *[count_of(F.col("base"), k).alias(f"n_{k}") for k in KINDS[:4]],
         F.sha2(as_text(F.col("base")), 256).alias("base_sha256"),

@@ -6,6 +6,8 @@ sorts them by start and then by the order in which their kinds are listed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
@@ -15,34 +17,71 @@ def no_spans() -> Column:
     return F.array().cast(f"array<{SPAN}>")
 
 
+#: Elements that are added up one by one between two running totals.
+_BLOCK = 64
+#: Code points before a match that ``matches`` returns with it.
+BEFORE = 80
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
+
+
+def _placed(parts: Column, sizes: Column, blocks: Column) -> Column:
+    """Matches with positions. ``blocks`` has the total size of every ``_BLOCK`` parts.
+
+    A position is the total of the whole blocks before it plus that of the parts before it
+    in its own block, so a text with very many matches takes little more than linear time.
+    """
+
+    def placed(totals: Column) -> Column:
+        def place(part: Column, i: Column) -> Column:
+            block = F.floor(i / _BLOCK).cast("int")
+            start = (
+                F.get(totals, block)
+                + _total(F.slice(sizes, block * _BLOCK + 1, i - block * _BLOCK))
+                + F.length(part["gap"])
+            )
+            earlier = F.when(i > 0, F.get(parts, i - 1)["whole"]).otherwise(F.lit(""))
+            return F.struct(
+                start.alias("start"), (start + F.length(part["whole"])).alias("end"), part["value"].alias("value"),
+                F.substring(F.concat(earlier, part["gap"]), -BEFORE, BEFORE).alias("before"),
+            )
+
+        # The last gap has no match after it.
+        return F.filter(F.transform(parts, place), lambda m: m["end"].isNotNull())
+
+    return _let(F.transform(blocks, lambda b, k: _total(F.slice(blocks, F.lit(1), k))), placed)
+
+
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
-    """All matches as ``array<struct<start, end, value>>``; value is the text of ``group``.
+    """All matches as ``array<struct<start, end, value, before>>``.
 
-    The text between matches comes from ``split`` and the matches from
-    ``regexp_extract_all``; adding up their lengths gives the positions. Texts
-    without a match cost one search.
+    value is the text of ``group``, before what stands in front of the match, back to the beginning of the
+    match before it or for ``BEFORE`` code points. The text between matches comes from ``split`` and the matches from
+    ``regexp_extract_all``; adding up their lengths gives the positions. Texts without a match cost one search.
     """
-    kind = "array<struct<start:int,end:int,value:string>>"
+    kind = "array<struct<start:int,end:int,value:string,before:string>>"
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    parts = F.arrays_zip(
-        F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
-        F.transform(whole, F.length).alias("size"),
-        value.alias("value"),
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
+    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("whole"), value.alias("value"))
 
-    def step(done: Column, part: Column) -> Column:
-        begin = done["at"] + part["gap"]
-        end = begin + part["size"]
-        span = F.struct(begin.alias("start"), end.alias("end"), part["value"].alias("value"))
-        # The last gap has no match after it.
-        return F.struct(
-            F.coalesce(end, begin).alias("at"),
-            F.when(part["size"].isNull(), done["found"]).otherwise(F.array_append(done["found"], span)).alias("found"),
-        )
+    def sized(parts: Column) -> Column:
+        sizes = F.transform(parts, lambda p: F.length(p["gap"]) + F.coalesce(F.length(p["whole"]), F.lit(0)))
+
+        def blocked(sizes: Column) -> Column:
+            starts = F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / _BLOCK).cast("int"))
+            blocks = F.transform(starts, lambda b: _total(F.slice(sizes, b * _BLOCK + 1, F.lit(_BLOCK))))
+            return _let(blocks, lambda b: _placed(parts, sizes, b))
+
+        return _let(sizes, blocked)
 
-    found = F.aggregate(parts, start, step, lambda done: done["found"])
+    found = _let(zipped, sized).cast(kind)
     return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(F.array().cast(kind))
 
 
