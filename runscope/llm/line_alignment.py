@@ -3,10 +3,11 @@
 Documents that share lines are aligned, and the blocks of lines they have in common are deleted
 from the later one (the one with the larger doc_id).
 
-1. Every line is hashed; blank lines don't count. A line found in at most ``RARE`` documents pairs each of them with the
-   first and with the nearest earlier one. A more frequent line pairs a document with the first one only.
-   So the number of pairs is linear in the lines, however many documents share one,
-   and no shared line is without a partner.
+1. Every line is hashed. From every line on, and up to every line, the shortest run of consecutive lines with
+   ``MIN_WORDS`` words is hashed too. Every block of that many words is covered by such runs, and whoever holds the
+   block holds these runs in one piece. Each run pairs the documents that hold it with the first of them. So the
+   number of pairs is linear in the lines, however many documents share one, and every line that an earlier
+   document holds in a long enough block has a partner that holds it in one.
 2. A pair is aligned by patience diff: equal lines at both ends, then the longest increasing sequence of
    lines that occur once in either document, and the same again between them.
 3. A block is a run of aligned lines that follow each other in both documents. It is deleted if it
@@ -31,14 +32,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from runscope.llm.sketches import mixed
 from runscope.llm.texts import arrow_batch, arrow_schema, text_key, text_rows
 from runscope.session import written_table
 
-RARE = 8
 MIN_WORDS = 10
 BLANK = 0
+#: Hashes of runs are sums of the lines' hashes times powers of an odd number, which has an inverse.
+_STEP = 0x9E3779B97F4A7C15
+_BACK = pow(_STEP, -1, 1 << 64)
 
 _LINES = "doc_id bigint, key bigint, hashes array<bigint>, words array<int>"
+_RUNS = "document struct<unnamed:boolean,doc_id:bigint,key:bigint>, runs array<bigint>"
 _RANGES = "later struct<unnamed:boolean,doc_id:bigint,key:bigint>, ranges array<struct<start:int,end:int>>"
 
 
@@ -97,6 +102,22 @@ def common_blocks(a: list[int], b: list[int], words: list[int], least: int = MIN
     return [(s, e) for s, e in blocks if sum(words[s:e]) >= least]
 
 
+def runs(hashes: np.ndarray, words: np.ndarray, least: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of the shortest runs of lines with ``least`` words: from every line on, and up to every line."""
+    n, least = len(words), max(1, least)
+    total = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
+    end = np.searchsorted(total, total[:-1] + least)
+    start = np.searchsorted(total, total[1:] - least, side="right") - 1
+    at = np.arange(n + 1)
+    starts = np.concatenate((at[:-1][end <= n], start[start >= 0]))
+    ends = np.concatenate((end[end <= n], at[1:][start >= 0]))
+    terms = mixed(hashes.view(np.uint64) + np.uint64(_STEP)) * np.cumprod(np.full(n, _STEP, dtype=np.uint64))
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(terms, dtype=np.uint64)))
+    back = np.concatenate((np.ones(1, dtype=np.uint64), np.cumprod(np.full(n, _BACK, dtype=np.uint64))))
+    keys = mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    return starts, ends, keys.view(np.int64)
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """doc_id, key (hash of the text), and hash and number of words of every line."""
     schema = arrow_schema(_LINES)
@@ -119,32 +140,34 @@ def _document() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
 
 
-def _pairs(documents: DataFrame, rare: int) -> DataFrame:
-    """Distinct pairs (later, earlier) of documents that share a line."""
-    held = documents.select(F.explode(F.array_distinct("hashes")).alias("line"), "document").where(F.col("line") != BLANK)
+def _pairs(documents: DataFrame, min_words: int) -> DataFrame:
+    """Distinct pairs (later, earlier): of each run of ``min_words`` words every later document with the first."""
+    schema = arrow_schema(_RUNS)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column("hashes"), batch.column("words"))
+            found = [np.unique(runs(np.asarray(h.values), np.asarray(w.values), min_words)[2]) for h, w in both]
+            yield arrow_batch([batch.column("document"), found], schema)
+
+    held = documents.mapInArrow(run, _RUNS).select(F.explode("runs").alias("run"), "document")
     shared = written_table(
-        held.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("document").alias("first")).where("n > 1"),
-        "shared-lines",
+        held.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("document").alias("first")).where("n > 1").drop("n"),
+        "shared-runs",
     )
-    holders = held.join(shared.withColumnRenamed("line", "_line"), F.col("line") == F.col("_line"))
-    with_first = holders.where(F.col("document") != F.col("first")).select(
-        F.col("document").alias("later"), F.col("first").alias("earlier")
-    )
-    few = (
-        holders.where(F.col("n") <= rare)
-        .groupBy("line")
-        .agg(F.sort_array(F.collect_list("document")).alias("d"))
-        .select(F.explode(F.arrays_zip(F.expr("slice(d, 2, size(d) - 1)").alias("later"), F.expr("slice(d, 1, size(d) - 1)").alias("earlier"))).alias("p"))
-        .select("p.later", "p.earlier")
+    holders = held.join(shared.withColumnRenamed("run", "_run"), F.col("run") == F.col("_run"))
+    return (
+        holders.where(F.col("document") != F.col("first"))
+        .select(F.col("document").alias("later"), F.col("first").alias("earlier"))
+        .distinct()
     )
-    return with_first.unionByName(few).distinct()
 
 
-def common_lines(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) -> DataFrame:
+def common_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, key and the ranges of lines to delete, of documents that lose some."""
     schema = arrow_schema(_RANGES)
     documents = written_table(lines(docs).distinct().withColumn("document", _document()), "lines")
-    pairs = written_table(_pairs(documents, rare), "line-pairs")
+    pairs = written_table(_pairs(documents, min_words), "line-pairs")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,10 +194,10 @@ def common_lines(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS)
     )
 
 
-def clean(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) -> DataFrame:
+def clean(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with all their columns, and ``_runscope_lines``, ``_runscope_removed``, ``_runscope_text``: number of
     lines, number of removed lines, text without them."""
-    gone = written_table(common_lines(docs, rare, min_words), "common-lines")
+    gone = written_table(common_lines(docs, min_words), "common-lines")
     gone = gone.select(F.col("doc_id").alias("_runscope_id"), F.col("key").alias("_runscope_gone"), F.col("ranges").alias("_runscope_ranges"))
     keyed = docs.withColumn("_runscope_key", text_key(docs["text"]))
     same = F.col("doc_id").eqNullSafe(F.col("_runscope_id")) & (F.col("_runscope_key") == F.col("_runscope_gone"))
@@ -190,9 +213,9 @@ def clean(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) -> Data
     )
 
 
-def summarise(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) -> DataFrame:
+def summarise(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, number of lines and of removed ones, and length and hash of the remaining text."""
-    done = clean(docs.select("doc_id", "text"), rare, min_words)
+    done = clean(docs.select("doc_id", "text"), min_words)
     return done.select(
         "doc_id",
         F.col("_runscope_lines").alias("n_lines"),
@@ -202,9 +225,9 @@ def summarise(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) ->
     )
 
 
-def drop_common_lines(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) -> DataFrame:
+def drop_common_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with their remaining text; those of which nothing but blanks remains go."""
-    done = clean(docs, rare, min_words)
+    done = clean(docs, min_words)
     emptied = (F.col("_runscope_removed") > 0) & (F.trim(F.regexp_replace("_runscope_text", r"[\x09-\x0D]", " ")) == "")
     return done.where(~emptied | F.col("_runscope_text").isNull()).select(
         *[(F.col("_runscope_text") if c == "text" else F.col(c)).alias(c) for c in docs.columns]
