@@ -12,6 +12,10 @@ from the later one (the one with the larger doc_id).
    lines that occur once in either document, and the same again between them.
 3. A block is a run of aligned lines that follow each other in both documents. It is deleted if it
    has at least ``MIN_WORDS`` words; shorter ones, such as headings, stay.
+4. An alignment keeps the order and uses every line once, and has no anchors between passages that occur twice. So the
+   lines it leaves are looked up among the runs of step 1 of the earlier document: blocks that are repeated in
+   either document or stand in another order go as well. Together a document loses
+   all lines that are part of a block of ``MIN_WORDS`` words of any earlier document, and no others.
 
 Only hashes of lines are joined and aligned; texts are read twice and moved once, to meet
 the lines that go.
@@ -89,8 +93,8 @@ def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def common_blocks(a: list[int], b: list[int], words: list[int], least: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """Ranges of lines of ``b`` that are in a common block of at least ``least`` words (``words`` of each line of b)."""
+def _aligned_blocks(a: list[int], b: list[int], words: list[int], least: int) -> list[tuple[int, int]]:
+    """Ranges of lines of ``b`` that are aligned with lines of ``a`` in one piece of at least ``least`` words."""
     blocks: list[list[int]] = []
     last = None
     for i, j in aligned(a, b):
@@ -102,6 +106,27 @@ def common_blocks(a: list[int], b: list[int], words: list[int], least: int = MIN
     return [(s, e) for s, e in blocks if sum(words[s:e]) >= least]
 
 
+def common_blocks(a: list[int], b: list[int], words: list[int], least: int = MIN_WORDS) -> list[tuple[int, int]]:
+    """Ranges of lines of ``b`` that are in a common block of at least ``least`` words (``words`` of each line of b)."""
+    least = max(1, least)
+    edges = np.zeros(len(b) + 1, dtype=np.int64)
+    for s, e in _aligned_blocks(a, b, words, least):
+        edges[s] += 1
+        edges[e] -= 1
+    held = set(a)
+    if any(x in held and not c for x, c in zip(b, np.cumsum(edges[:-1]).tolist())):
+        # Lines of a that b lacks have no words here; runs with such a line are not in b anyway.
+        of_line = dict(zip(b, words))
+        _, _, known = runs(np.array(a, dtype=np.int64), np.array([of_line.get(x, 0) for x in a], dtype=np.int64), least)
+        starts, ends, keys = runs(np.array(b, dtype=np.int64), np.array(words, dtype=np.int64), least)
+        found = np.isin(keys, known)
+        np.add.at(edges, starts[found], 1)
+        np.add.at(edges, ends[found], -1)
+    inside = np.concatenate(([0], np.cumsum(edges) > 0)).astype(np.int8)
+    turns = np.diff(inside)
+    return list(zip(np.nonzero(turns == 1)[0].tolist(), np.nonzero(turns == -1)[0].tolist()))
+
+
 def runs(hashes: np.ndarray, words: np.ndarray, least: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and hash of the shortest runs of lines with ``least`` words: from every line on, and up to every line."""
     n, least = len(words), max(1, least)

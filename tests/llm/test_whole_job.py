@@ -45,3 +45,52 @@ def test_partners_by_runs_find_what_all_pairs_find(frame):
         kept = [x for k in range(0, 60, 4) if rng.random() < 0.5 for x in base[k : k + rng.randrange(1, 5)]]
         docs[i] = "\n".join(y for x in kept for y in ([x] if rng.random() < 0.8 else [x, *passage(rng, 1, 2)])) or "x"
     assert cleaned(frame, docs) == all_pairs(docs, la.common_blocks)
+
+
+def every_block(a, b, words_of_b):
+    """All longest common runs of lines with ten words, whatever their order, by comparing all places."""
+    found = []
+    for i in range(len(a)):
+        for j in range(len(b)):
+            if a[i] == b[j] and not (i and j and a[i - 1] == b[j - 1]):
+                n = 1
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                    n += 1
+                if sum(words_of_b[j : j + n]) >= la.MIN_WORDS:
+                    found.append((j, j + n))
+    return found
+
+
+def marked(ranges):
+    return {k for s, e in ranges for k in range(s, e)}
+
+
+def test_common_blocks_are_all_found():
+    rng = random.Random(13)
+    for _ in range(3000):
+        few = rng.randrange(2, 9)
+        size = {x: 0 if x == la.BLANK else rng.choice([1, 3, 5, 9, 12]) for x in range(few)}
+        a, b = ([rng.randrange(few) for _ in range(rng.randrange(16))] for _ in "ab")
+        lengths = [size[x] for x in b]
+        got = la.common_blocks(a, b, lengths)
+        assert marked(got) == marked(every_block(a, b, lengths))
+        assert all(e < s for (_, e), (s, _) in zip(got, got[1:]))
+
+
+def test_a_passage_that_is_repeated_in_the_first_or_the_later_document(frame):
+    rng = random.Random(14)
+    p, own = passage(rng, 4), iter(passage(rng, 200))
+    twice = lambda: [next(own), *p, next(own), *p, next(own)]
+    docs = {i: [next(own), *p, next(own)] for i in range(2, 30)} | {1: twice(), 30: twice(), 31: twice()}
+    got = cleaned(frame, {i: "\n".join(x) for i, x in docs.items()})
+    assert got == {i: "\n".join(x if i == 1 else [y for y in x if y not in p]) for i, x in docs.items()}
+
+
+def test_partners_and_blocks_equal_all_pairs_in_any_order(frame):
+    rng = random.Random(15)
+    base = ["", *(" ".join(words(rng, rng.choice([1, 2, 4, 6, 11]), 10**6)) for _ in range(12))]
+    docs = {}
+    for i in range(60):
+        parts = [base[k : k + rng.randrange(1, 4)] for k in (rng.randrange(13) for _ in range(6))]
+        docs[i] = "\n".join(x for part in parts for x in [*part, *passage(rng, rng.random() < 0.3, 2)])
+    assert cleaned(frame, docs) == all_pairs(docs, every_block)
