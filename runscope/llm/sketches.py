@@ -11,6 +11,8 @@ concentrated as strongly as with independent samples.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import xxhash
 
@@ -20,6 +22,8 @@ SHINGLE = 5
 ROWS = 5
 BANDS = 26
 BINS = ROWS * BANDS
+#: Probability with which a pair at the threshold may miss all bands.
+MISS = 2.5e-7
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _VALUE_BITS = np.uint64(54)
 _VALUE = np.uint64((1 << 54) - 1)
@@ -70,6 +74,13 @@ def sketches(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
     return out.reshape(len(sets), bins)
 
 
+def bands_for(percent: int, rows: int = ROWS) -> int:
+    """Bands of which a pair of that similarity misses all with a probability of at most ``MISS``."""
+    if percent >= 100:
+        return 1
+    return math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** rows)))
+
+
 def bands(sketch: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """One 64-bit key per band of ``rows`` coordinates."""
     count = sketch.shape[1] // rows

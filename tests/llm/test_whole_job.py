@@ -4,7 +4,9 @@ import random
 
 from conftest import words
 
-from runscope.llm import line_alignment as la
+import brute
+import corpus_pipeline
+from runscope.llm import line_alignment as la, near_duplicates as nd, sketches as sk
 
 
 def cleaned(frame, docs):
@@ -94,3 +96,24 @@ def test_partners_and_blocks_equal_all_pairs_in_any_order(frame):
         parts = [base[k : k + rng.randrange(1, 4)] for k in (rng.randrange(13) for _ in range(6))]
         docs[i] = "\n".join(x for part in parts for x in [*part, *passage(rng, rng.random() < 0.3, 2)])
     assert cleaned(frame, docs) == all_pairs(docs, every_block)
+
+
+def test_stage_of_near_duplicates_links_from_80_percent_on(spark, frame):
+    rng, docs = random.Random(16), {}
+    for g in range(40):
+        # The copy shares all but k of n shingles: similarities from 0.75 to 0.88, which 85 percent would split.
+        base = words(rng, 104, 10**6)
+        docs[2 * g] = " ".join(base)
+        docs[2 * g + 1] = " ".join(base[: 104 - 6 - g % 9] + words(rng, 6 + g % 9, 10**6))
+    sets = {i: brute.shingles(t) for i, t in docs.items()}
+    like = {i: len(sets[i] & sets[i - 1]) / len(sets[i] | sets[i - 1]) for i in range(1, 80, 2)}
+    assert any(0.80 <= x < 0.85 for x in like.values()) and min(like.values()) < 0.80 and max(like.values()) > 0.85
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_first_copies(spark, frame(docs.items()), "").collect()}
+    assert kept == {i for i in docs if i % 2 == 0 or like[i] < 0.80}
+
+
+def test_bands_and_margin_follow_the_threshold():
+    assert (sk.bands_for(85), sk.bands_for(80), sk.bands_for(100)) == (sk.BANDS, 39, 1)
+    for percent in (50, 80, 85, 95):
+        assert (1 - (percent / 100) ** sk.ROWS) ** sk.bands_for(percent) <= sk.MISS
+    assert nd.margin(50) > nd.margin(80) > nd.margin(85)
