@@ -2,7 +2,8 @@
 
 The expressions work on the words of a text, in lower case and joined by one space
 ("apache license version 2 0"); they match whole words. A rule is tried only on texts that
-contain its keyword. Priority 3: a grant or the text of a licence; 2: a licence
+contain its keyword, one of the words of every match; only the sentence that the header of the Apache licence shares
+with that of the MPL 1.1 needs its keyword elsewhere. Priority 3: a grant or the text of a licence; 2: a licence
 named with its version or by its identifier; 1: a bare name or a hint.
 """
 
@@ -31,12 +32,12 @@ x11 | 2 | x11 | x11 licen[cs]e
 x11 | 2 | consortium | x consortium licen[cs]e
 bsd | 3 | redistribution | redistribution and use in source and binary forms with or without modification are permitted
 bsd-4-clause | 3 | advertising | all advertising materials mentioning features or use of this software must display
-bsd-3-clause | 3 | endorse | neither the name of .{1,80}? may be used to endorse or promote products
+bsd-3-clause | 3 | endorse | neither the name of (?:[^ ]+ ){1,60}?may be used to endorse or promote products
 bsd-3-clause | 2 | bsd | spdx license identifier bsd 3 clause
 bsd-3-clause | 2 | bsd | (?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd)(?: licen[cs]e)?
 bsd-2-clause | 2 | bsd | spdx license identifier bsd 2 clause
-bsd-2-clause | 2 | bsd | (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)(?: licen[cs]e)?
-bsd-2-clause | 2 | freebsd | freebsd licen[cs]e
+bsd-2-clause | 2 | bsd | (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd)(?: licen[cs]e)?
+bsd-2-clause | 2 | freebsd | freebsd(?: licen[cs]e)?
 bsd-4-clause | 2 | bsd | (?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd)(?: licen[cs]e)?
 0bsd | 2 | 0bsd | (?:spdx license identifier )?0bsd
 0bsd | 2 | bsd | (?:zero clause bsd|bsd zero clause)(?: licen[cs]e)?
@@ -144,7 +145,7 @@ polyform-small-business | 2 | polyform | polyform small business licen[cs]e(?: 1
 polyform | 1 | polyform | polyform [a-z]+ licen[cs]e
 confluent-community | 2 | confluent | confluent community licen[cs]e
 redis-sal | 2 | redis | redis source available licen[cs]e
-unlicense | 3 | encumbered | free and unencumbered software released into the public domain
+unlicense | 3 | unencumbered | free and unencumbered software released into the public domain
 unlicense | 2 | unlicense | (?:the )?unlicense
 unlicense | 2 | unlicense | spdx license identifier unlicense
 wtfpl | 2 | wtfpl | wtfpl
@@ -246,7 +247,7 @@ non-commercial | 1 | noncommercial | noncommercial use(?: only)?
 proprietary | 2 | proprietary | proprietary and confidential
 proprietary | 2 | unauthorized | unauthorized (?:copying|reproduction|distribution) .{0,60}?(?:strictly )?prohibited
 proprietary | 1 | confidential | confidential information of
-eula | 2 | eula | end user licen[cs]e agreement(?: eula)?
+eula | 2 | user | end user licen[cs]e agreement(?: eula)?
 eula | 1 | user | end user licen[cs]e agreement
 commercial | 2 | commercial | commercial licen[cs]e(?: agreement)?
 trial | 1 | evaluation | evaluation licen[cs]e(?: agreement)?
@@ -258,7 +259,8 @@ rights-reserved | 2 | rights | some rights reserved
 rights-reserved | 1 | droits | tous droits réservés
 rights-reserved | 1 | rechte | alle rechte vorbehalten
 rights-reserved | 1 | derechos | todos los derechos reservados
-licence-file | 1 | license | see (?:the )?licen[cs]e (?:file )?(?:for|in) (?:the )?(?:details|more information|project root)
+licence-file | 1 | license | see (?:the )?license (?:file )?(?:for|in) (?:the )?(?:details|more information|project root)
+licence-file | 1 | licence | see (?:the )?licence (?:file )?(?:for|in) (?:the )?(?:details|more information|project root)
 licence-file | 1 | notice | see (?:the )?notice file distributed with this work
 licence-hint | 1 | licensed | licensed under
 """

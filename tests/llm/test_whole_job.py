@@ -1,12 +1,14 @@
 """Results that must not depend on a shortcut: compared with all pairs, all runs, all matches."""
 
+import itertools
 import random
+from re import _constants as rc, _parser as rp
 
 from conftest import words
 
 import brute
 import corpus_pipeline
-from runscope.llm import line_alignment as la, near_duplicates as nd, sketches as sk
+from runscope.llm import license_rules, licenses, line_alignment as la, near_duplicates as nd, sketches as sk
 
 
 def cleaned(frame, docs):
@@ -117,3 +119,46 @@ def test_bands_and_margin_follow_the_threshold():
     for percent in (50, 80, 85, 95):
         assert (1 - (percent / 100) ** sk.ROWS) ** sk.bands_for(percent) <= sk.MISS
     assert nd.margin(50) > nd.margin(80) > nd.margin(85)
+
+
+def shortest(tree):
+    """One text for every choice of alternatives and characters, with optional parts left out."""
+    options = []
+    for op, arg in tree:
+        if op is rc.LITERAL:
+            options.append([chr(arg)])
+        elif op is rc.ANY or op is rc.NOT_LITERAL:
+            options.append(["x"])
+        elif op is rc.IN:
+            options.append([chr(a) for o, a in arg if o is rc.LITERAL] if all(o is rc.LITERAL for o, _ in arg) else ["0" if arg[0][0] is rc.CATEGORY else "x"])
+        elif op is rc.BRANCH:
+            options.append([x for branch in arg[1] for x in shortest(branch)])
+        elif op is rc.SUBPATTERN:
+            options.append(list(shortest(arg[3])))
+        elif op in (rc.MAX_REPEAT, rc.MIN_REPEAT):
+            options.append(["".join(x) for x in itertools.product(shortest(arg[2]), repeat=arg[0])])
+        else:
+            raise ValueError(op)
+    return ["".join(x) for x in itertools.product(*options)]
+
+
+#: The header of the MPL 1.1 has the same sentence: here the name elsewhere in the text tells whose it is.
+NAMED_ELSEWHERE = {"may not use this file except in compliance with the (?:apache )?licen[cs]e"}
+
+
+def test_every_alternative_of_a_rule_has_its_keyword_and_is_found():
+    for order, (label, _, keyword, expression) in enumerate(license_rules.RULES):
+        for text in shortest(rp.parse(expression)):
+            text += f" {keyword}" * (expression in NAMED_ELSEWHERE)
+            assert keyword in text.split(), (label, keyword, text)
+            tried = [r for word in text.split() for r in licenses._BY_KEYWORD.get(word.encode(), []) if r[0] == order]
+            assert tried and tried[0][3].search(text.encode()), (label, text)
+
+
+def test_grants_behind_their_keywords_are_found():
+    labels = lambda text: licenses.scan(text.encode())[5].split(",")
+    assert "unlicense" in labels("This is free and unencumbered software released into the public domain.")
+    assert labels("under the FreeBSD license") == labels("as FreeBSD") == ["bsd-2-clause"]
+    holder = "the Association of Very Long Names for Research in Computing, its members, " * 2
+    assert labels(f"Neither the name of {holder} nor the names of its contributors may be used to endorse or promote products") == ["bsd-3-clause"]
+    assert labels("See the licence file for details") == ["licence-file"]
