@@ -1,14 +1,17 @@
 """Results that must not depend on a shortcut: compared with all pairs, all runs, all matches."""
 
+import hashlib
 import itertools
 import random
+from array import array
 from re import _constants as rc, _parser as rp
 
 from conftest import words
 
 import brute
 import corpus_pipeline
-from runscope.llm import license_rules, licenses, line_alignment as la, near_duplicates as nd, sketches as sk
+from runscope.llm import license_rules, licenses, line_alignment as la, near_duplicates as nd, sentence_pieces as sp, sketches as sk
+from runscope.llm.piece_lattice import BLANK, Lattices
 
 
 def cleaned(frame, docs):
@@ -162,3 +165,41 @@ def test_grants_behind_their_keywords_are_found():
     holder = "the Association of Very Long Names for Research in Computing, its members, " * 2
     assert labels(f"Neither the name of {holder} nor the names of its contributors may be used to endorse or promote products") == ["bsd-3-clause"]
     assert labels("See the licence file for details") == ["licence-file"]
+
+
+def every_segmentation(lattices, word):
+    if not word:
+        return [()]
+    ends = [(end, piece) for end, piece, _ in lattices._from(word, 0)]
+    return [(p, *rest) for end, p in ends for rest in every_segmentation(lattices, word[end:])]
+
+
+def test_segmentations_of_equal_scores_are_different_ones():
+    pieces = {BLANK: (0, -1.0), "a": (1, -1.0), "b": (2, -1.0), "ab": (3, -2.0), "ba": (4, -2.0), "aba": (5, -3.0), "bab": (6, -3.0)}
+    lattices = Lattices(pieces, list(range(100, 356)))
+    for word in map("".join, (w for k in range(1, 7) for w in itertools.product("ab", repeat=k))):
+        valid = set(every_segmentation(lattices, BLANK + word))
+        for text, of in ((word, 1), (f"{word} {word}", 2)):
+            found = lattices.segment(text, 3)
+            assert len(found) == len({tuple(ids) for _, ids in found}) == min(3, len(valid) ** of), text
+            assert [(s, ids.tolist()) for s, ids in lattices.segment_arrays(text, 3)] == found
+            assert lattices.best_and_scores(text, 3) == (found[0][1], [s for s, _ in found])
+        assert {tuple(ids) for _, ids in lattices.segment(word, 100)} == valid
+
+
+def test_all_segmentations_are_hashed_and_decoded(spark, frame, odd_rows):
+    shared, docs = sp.vocabulary(spark), frame(odd_rows)
+    texts = {(i, t or "") for i, t in odd_rows}
+    rows = corpus_pipeline.encode(spark, docs, "").collect()
+    value, want = shared.value, {}
+    lattices = Lattices(value["pieces"], value["bytes"])
+    for i, text in texts:
+        found = lattices.segment(text, 3)
+        want[i, len(found[0][1]), found[0][0]] = [ids for _, ids in found]
+    assert len(rows) == len(odd_rows) and all(r["round_trip"] for r in rows)
+    for r in rows:
+        assert [r["ids"], *(o["ids"] for o in r["others"])] == want[r["doc_id"], len(r["ids"]), r["score"]]
+    for r in sp.summarise(docs, shared).collect():
+        every = want[r["doc_id"], r["n_ids"], r["score"]]
+        assert r["segmentations_sha256"] == [hashlib.sha256(array("i", ids).tobytes()).hexdigest() for ids in every]
+        assert r["ids_sha256"] == r["segmentations_sha256"][0]
