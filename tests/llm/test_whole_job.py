@@ -203,3 +203,10 @@ def test_all_segmentations_are_hashed_and_decoded(spark, frame, odd_rows):
         every = want[r["doc_id"], r["n_ids"], r["score"]]
         assert r["segmentations_sha256"] == [hashlib.sha256(array("i", ids).tobytes()).hexdigest() for ids in every]
         assert r["ids_sha256"] == r["segmentations_sha256"][0]
+
+
+def test_the_best_segmentation_is_not_listed_again_among_equal_ones():
+    pieces = {BLANK: -1, "a": -1, "b": -1, "c": -1, "d": -1, "ca": -3, "ac": -2, BLANK + "dc": -1, "dcac": -3, "aca": -3, "caca": -2}
+    lattices = Lattices({p: (k, float(s)) for k, (p, s) in enumerate(pieces.items())}, list(range(100, 356)))
+    found = lattices.segment("dcaca", 3)
+    assert [s for s, _ in found] == [-4.0] * 3 and len({tuple(ids) for _, ids in found}) == 3
