@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from runscope.llm import (
+    conversation_repair,
+    conversation_trie,
     language_model,
     licenses,
     line_alignment,
@@ -17,6 +19,7 @@ from runscope.llm import (
     quality_rules,
     secrets,
     sentence_pieces,
+    token_counts,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +89,19 @@ def op9_quality_classifier(spark, sf):
 @query
 def op10_personal_data(spark, sf):
     return personal_data.find_personal_data(table(spark, sf, "documents"))
+
+
+@query
+def op11_conversation_repair(spark, sf):
+    return conversation_repair.audit_conversations(conversation_repair.damage(table(spark, sf, "conversations")))
+
+
+@query
+def op12_conversation_trie(spark, sf):
+    lists = conversation_trie.rebuilt(conversation_trie.turn_lists(table(spark, sf, "conversations")))
+    return conversation_trie.trie_nodes(conversation_trie.sequences(lists))
+
+
+@query
+def op13_token_counts(spark, sf):
+    return token_counts.count_tokens(table(spark, sf, "documents"), token_counts.tokenizer_file(spark))
