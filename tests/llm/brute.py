@@ -29,7 +29,7 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-def near_duplicates(docs):
+def near_duplicates(docs, percent=85):
     """docs: id -> text. Returns id -> (n_shingles, component, kept)."""
     sets, root = {i: shingles(t) for i, t in docs.items()}, {i: i for i in docs}
 
@@ -42,7 +42,7 @@ def near_duplicates(docs):
     for k, a in enumerate(ids):
         for b in ids[k + 1 :]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}

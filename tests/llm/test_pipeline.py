@@ -14,9 +14,9 @@ from runscope.llm import oracle, queries, sentence_pieces as sp
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_thirteen_operators_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.registered()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.registered()) == list(range(1, 14))
     assert "pipeline" in names and set(oracle.oracle_sql()) <= set(names)
 
 
@@ -49,7 +49,7 @@ def test_stages(spark, sf):
     for i, t in texts["line_dedup"].items():
         lines = iter(texts["quality_classifier"][i].split("\n"))
         assert all(x in lines for x in t.split("\n"))
-    want = brute.near_duplicates(texts["line_dedup"])
+    want = brute.near_duplicates(texts["line_dedup"], corpus_pipeline.NEAR_PERCENT)
     assert set(texts["near_dedup"]) == {i for i, (_, _, kept) in want.items() if kept}
     items = [(r["item_id"], r["text"]) for r in bench.collect()]
     hits = brute.contamination(texts["near_dedup"], items)

@@ -89,7 +89,7 @@ def test_pieces_round_trip(spark, frame, odd_rows):
     key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
     assert sorted(((r["doc_id"], r["text"]) for r in back), key=key) == sorted(((i, t or "") for i, t in odd_rows), key=key)
     assert sp.summarise(docs, shared).where("not round_trip").count() == 0
-    several = sp.encode_n_best(docs, shared, 3).collect()
+    several = sp.with_all_ids(sp.encode_n_best(docs, shared, 3)).collect()
     for found in (r["segmentations"] for r in several):
         assert 1 <= len(found) <= 3 and [x["score"] for x in found] == sorted((x["score"] for x in found), reverse=True)
     long = next(r["segmentations"] for r in several if r["doc_id"] == 6)

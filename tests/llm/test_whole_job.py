@@ -190,7 +190,7 @@ def test_segmentations_of_equal_scores_are_different_ones():
 def test_all_segmentations_are_hashed_and_decoded(spark, frame, odd_rows):
     shared, docs = sp.vocabulary(spark), frame(odd_rows)
     texts = {(i, t or "") for i, t in odd_rows}
-    rows = corpus_pipeline.encode(spark, docs, "").collect()
+    rows = sp.with_all_ids(corpus_pipeline.encode(spark, docs, "")).collect()
     value, want = shared.value, {}
     lattices = Lattices(value["pieces"], value["bytes"])
     for i, text in texts:
@@ -198,7 +198,7 @@ def test_all_segmentations_are_hashed_and_decoded(spark, frame, odd_rows):
         want[i, len(found[0][1]), found[0][0]] = [ids for _, ids in found]
     assert len(rows) == len(odd_rows) and all(r["round_trip"] for r in rows)
     for r in rows:
-        assert [r["ids"], *(o["ids"] for o in r["others"])] == want[r["doc_id"], len(r["ids"]), r["score"]]
+        assert [s["ids"] for s in r["segmentations"]] == want[r["doc_id"], len(r["ids"]), r["score"]]
     for r in sp.summarise(docs, shared).collect():
         every = want[r["doc_id"], r["n_ids"], r["score"]]
         assert r["segmentations_sha256"] == [hashlib.sha256(array("i", ids).tobytes()).hexdigest() for ids in every]
@@ -210,3 +210,63 @@ def test_the_best_segmentation_is_not_listed_again_among_equal_ones():
     lattices = Lattices({p: (k, float(s)) for k, (p, s) in enumerate(pieces.items())}, list(range(100, 356)))
     found = lattices.segment("dcaca", 3)
     assert [s for s, _ in found] == [-4.0] * 3 and len({tuple(ids) for _, ids in found}) == 3
+
+
+def pieces_of(spark):
+    value = sp.vocabulary(spark).value
+    return value["pieces"], value["bytes"], value["table"]
+
+
+def test_words_segmented_together_and_alone_are_the_same(spark):
+    pieces, byte_ids, table = pieces_of(spark)
+    rng, letters = random.Random(21), ["a", "e", "n", "t", "th", "ing", ".", "\n", "é", "字", "\U0001f600", BLANK, "\0", "1", "ʬ"]
+    several = {"".join(rng.choice(letters) for _ in range(rng.randrange(14))) for _ in range(3000)}
+    together, alone = Lattices(pieces, byte_ids), Lattices(pieces, byte_ids)
+    together.learn(several)
+    for word in several:
+        at = together._words[word]
+        assert (together._scores[at], together._parts[at], together._gaps[at]) == alone._entry(word)
+
+
+def test_kept_words_have_a_bounded_size_and_change_nothing(spark):
+    pieces, byte_ids, _ = pieces_of(spark)
+    rng = random.Random(22)
+    texts = [" ".join(words(rng, 300, 5_000)) for _ in range(60)] + ["", " ", "x" * 2_000, "字" * 1_500 + " a"]
+    small, large = Lattices(pieces, byte_ids, kept_bytes=40_000), Lattices(pieces, byte_ids)
+    for text in texts * 2:
+        assert small.segmentations(text, 3) == large.segmentations(text, 3)
+        assert small._size < 40_000 + 300 * 700 and "x" * 2_000 not in small._words
+
+
+def test_a_long_text_without_blanks_takes_memory_in_proportion(spark):
+    import tracemalloc
+
+    pieces, byte_ids, table = pieces_of(spark)
+    lattices, peaks = Lattices(pieces, byte_ids), []
+    rng = random.Random(23)
+    text = "".join(rng.choice("一二三四五六七八九十abcdefgh。") for _ in range(80_000))
+    for size in (20_000, 80_000):
+        tracemalloc.start()
+        found = lattices.segmentations(text[:size], 3)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert len(found.others) == 2 and sp._same(text[:size], found, table)
+    assert peaks[1] < 400 * 80_000 and lattices._size == 0
+
+
+def test_blocks_of_a_long_text_are_one_text(spark, monkeypatch):
+    pieces, byte_ids, _ = pieces_of(spark)
+    text = " ".join(words(random.Random(24), 4_000, 3_000)) + "  x "
+    whole = Lattices(pieces, byte_ids).segmentations(text, 4)
+    monkeypatch.setattr("runscope.llm.piece_lattice.BLOCK", 1_000)
+    assert Lattices(pieces, byte_ids).segmentations(text, 4) == whole
+
+
+def test_groups_of_texts_lose_no_row(spark, frame, monkeypatch):
+    rng = random.Random(25)
+    rows = [(i, " ".join(words(rng, rng.randrange(60))) or None) for i in range(300)]
+    monkeypatch.setattr(sp, "GROUP", 2_000)
+    monkeypatch.setattr(sp, "EMIT", 500)
+    shared = sp.vocabulary(spark)
+    back = {r["doc_id"]: r["text"] for r in sp.decode(sp.encode(frame(rows), shared), shared).collect()}
+    assert back == {i: t or "" for i, t in rows}
