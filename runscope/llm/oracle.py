@@ -7,7 +7,7 @@ order; they are tested against brute-force versions.
 
 from __future__ import annotations
 
-from runscope.llm import quality_rules
+from runscope.llm import phrase_index, quality_rules
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACED = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -53,10 +53,31 @@ hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM found, unnest(range(i, i
 listed AS (
   SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list_distinct(list(item))), ',') AS names
   FROM found GROUP BY doc_id
-)
+),
+occurrences AS (SELECT doc_id, j, w[j] AS term FROM words, unnest(range(1, len(w) + 1)) AS t(j)),
+frequency AS (SELECT term, count(*) AS n FROM occurrences GROUP BY term),
+ordered AS (
+  SELECT terms, o, terms[o] AS term, n, row_number() OVER (PARTITION BY terms ORDER BY n, o) AS rank
+  FROM (SELECT DISTINCT terms FROM windows), unnest(range(1, len(terms) + 1)) AS t(o) LEFT JOIN frequency ON term = terms[o]
+),
+rarest AS (
+  SELECT terms, arg_min(term, rank) AS term FROM ordered GROUP BY terms HAVING count(n) = count(*)
+),
+anchors AS (
+  SELECT r.terms, doc_id, j, greatest(1, j - len(r.terms) - {phrase_index.SLACK}) AS low, j + len(r.terms) + {phrase_index.SLACK} AS high
+  FROM rarest r JOIN occurrences USING (term)
+),
+near AS (
+  SELECT DISTINCT terms, doc_id FROM (
+    SELECT a.terms, a.doc_id, a.j, count(DISTINCT o.term) AS n
+    FROM anchors a JOIN occurrences o ON o.doc_id = a.doc_id AND o.j BETWEEN a.low AND a.high AND list_contains(a.terms, o.term)
+    GROUP BY ALL
+  ) WHERE n = len(list_distinct(terms))
+),
+close_by AS (SELECT doc_id, count(DISTINCT item) AS n_near FROM near JOIN windows USING (terms) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN close_by USING (doc_id)
 """
 
 

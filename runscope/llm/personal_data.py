@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from runscope.llm.spans import as_text, count_of, in_order, matches, no_spans, row_key
+from runscope.llm.spans import as_text, count_of, in_order, matches, no_spans, row_key, with_free
 from runscope.session import written_table
 
 ROUNDS = 2
@@ -105,12 +105,8 @@ def base_mentions(text: Column) -> Column:
     )
 
 
-def _candidates(text: Column, base: Column) -> Column:
-    """Identifier-like tokens outside the base entities, without closing punctuation."""
-    free = F.filter(
-        matches(text, TOKEN),
-        lambda m: ~F.exists(base, lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])),
-    )
+def _candidates(free: Column) -> Column:
+    """Tokens without closing punctuation, as mentions."""
     trimmed = F.transform(free, lambda m: m.withField("value", F.rtrim(m["value"], F.lit(".:!?"))))
     ended = F.transform(trimmed, lambda m: m.withField("end", m["start"] + F.length(m["value"])))
     return _mentions(ended, "context")
@@ -125,6 +121,8 @@ def accepted_values(
     """
     edges = written_table(edges.withColumn("secret", ~F.col("seed") & F.rlike("value", F.lit(SECRET))), "pii-edges")
     known = edges.select("pattern", "value", "seed", "secret", "n", F.col("seed").cast("double").alias("score"))
+    # Without a round nothing is accepted.
+    values = edges.where(F.lit(False)).select("value")
     for _ in range(rounds):
         patterns = (
             known.groupBy("pattern")
@@ -161,9 +159,11 @@ def find_personal_data(
     serve the graph and the result.
     """
     text = F.coalesce(docs["text"], F.lit(""))
-    raw = docs.select(docs["doc_id"], row_key(text).alias("key"), text.alias("text"), base_mentions(text).alias("base"))
-    raw = raw.select("doc_id", "key", "base", _candidates(F.col("text"), F.col("base")).alias("others"))
-    found = written_table(raw, "pii-mentions")
+    raw = docs.select(
+        docs["doc_id"], row_key(text).alias("key"), base_mentions(text).alias("base"), matches(text, TOKEN).alias("tokens")
+    )
+    free = with_free(written_table(raw, "pii-tokens"), ["doc_id", "key"], "tokens", "base")
+    found = written_table(free.select("doc_id", "key", "base", _candidates(F.col("tokens")).alias("others")), "pii-mentions")
     mentions = found.select("doc_id", "key", F.explode(F.concat("base", "others")).alias("m"))
     edges = mentions.groupBy("m.pattern", "m.value", "m.seed").agg(F.count(F.lit(1)).alias("n"))
     accepted = accepted_values(edges, rounds, support, confidence)

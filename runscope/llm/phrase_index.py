@@ -10,11 +10,13 @@ every document and is stored as a table; it can serve any number of test sets.
 window are ordered by their number of occurrences in the corpus, the rarest first. The rarest one
 finds the blocks and the possible places; only there the lists of the others are brought in
 by block and intersected, shifted by their offset in the window, until nothing or an exact
-phrase is left. With ``slack`` the same lists also give proximity matches: all words of
-a window, in any order, within the window's length plus ``slack`` words to either side of the rarest one.
+phrase is left. A block intersects all its windows at once, term by term in the order of rarity. With ``slack``
+the same lists also give proximity matches: all words of
+a window, in any order, within the window's length plus ``slack`` words to either side of the rarest one, in one document.
 
-Terms wanted by the test set are joined to the index as a table; Spark broadcasts it
-only if its size allows. Blocks are units of bounded size, whatever sources or copies they hold.
+Terms wanted by the test set are numbered and joined to the index as a table; Spark broadcasts it
+only if its size allows. Which items have a window is a table of its own, joined to what was found.
+Blocks are units of bounded size, whatever sources or copies they hold.
 
 Defined cases: null and empty texts have no words, are never contaminated and match nothing.
 Items of fewer words than a window are one window. Items without an id count as hits, but
@@ -25,20 +27,21 @@ are not read.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from runscope.llm.texts import arrow_batch, arrow_schema, plain_words, text_key, text_rows
 from runscope.session import written_table
 
 WINDOW = 10
 SLACK = 5
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 1_000_000
+#: Places of rarest terms that a block follows up at once.
+ANCHORS = 500_000
 #: Its positions are those at which documents begin; no word is empty.
 STARTS = b""
 
@@ -91,7 +94,7 @@ def build_index(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 
 def windows(items: DataFrame, length: int = WINDOW) -> DataFrame:
-    """Distinct windows of the items: terms, and the ids of the items that have them."""
+    """The windows of the items: item and terms."""
     out = arrow_schema("item string, terms array<binary>")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,137 +108,193 @@ def windows(items: DataFrame, length: int = WINDOW) -> DataFrame:
             yield arrow_batch([names, found], out)
 
     rows = text_rows(items.select(items["item_id"].cast("string").alias("item"), "text"), "item")
-    cut = rows.mapInArrow(run, "item string, terms array<binary>")
-    return cut.groupBy("terms").agg(F.collect_set("item").alias("items"))
+    return rows.mapInArrow(run, "item string, terms array<binary>")
 
 
-def _rarest_first(cut: DataFrame, postings: DataFrame) -> DataFrame:
-    """Windows whose terms all occur, with terms and offsets in the order of rarity."""
-    frequency = postings.groupBy("term").agg(F.sum("n").alias("n"))
-    listed = cut.select("terms", "items", F.posexplode("terms").alias("offset", "term"))
+def _rarest_first(cut: DataFrame, postings: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Windows whose terms all occur, with the terms' numbers and offsets in the order of rarity."""
+    frequency = postings.groupBy("number").agg(F.sum("n").alias("n")).join(numbers, "number")
+    listed = cut.select("window", F.size("terms").alias("size"), F.posexplode("terms").alias("offset", "term"))
     return (
         listed.join(frequency, "term")
-        .groupBy("terms")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("n", "offset", "term"))).alias("order"),
-            F.first("items").alias("items"),
-        )
-        .where(F.size("order") == F.size("terms"))
-        .select("items", "order.term", "order.offset", F.get("order.term", F.lit(0)).alias("rarest"))
+        .groupBy("window", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "offset", "number"))).alias("order"))
+        .where(F.size("order") == F.col("size"))
+        .select("window", "order.number", "order.offset", F.get("order.number", F.lit(0)).alias("rarest"))
     )
 
 
-def _within(positions: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Which of ``wanted`` are among the sorted ``positions``."""
-    at = np.searchsorted(positions, wanted)
-    at[at == len(positions)] = 0
-    return positions[at] == wanted
-
-
-def _any_between(positions: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(positions, low)
-    return (at < len(positions)) & (positions[np.minimum(at, len(positions) - 1)] <= high)
-
-
-def _search_block(lists: dict[bytes, np.ndarray], asked: list[dict], slack: int) -> dict[int, tuple[set, set, list]]:
-    """Per document of a block: items found exactly, items found nearby, intervals of hit words."""
-    starts, found = lists[STARTS], {}
-
-    def document(place: int) -> int:
-        return int(np.searchsorted(starts, place, side="right")) - 1
-
-    for row in asked:
-        terms, offsets, anchors = row["term"], row["offset"], lists[row["term"][0]]
-        size, exact = len(terms), anchors - offsets[0]
-        exact = exact[exact >= 0]
-        doc = np.searchsorted(starts, anchors, side="right") - 1
-        end = np.append(starts[1:], np.iinfo(np.int32).max)
-        low, high = np.maximum(anchors - size - slack, starts[doc]), np.minimum(anchors + size + slack, end[doc] - 1)
-        near = np.ones(len(anchors), dtype=bool)
-        for term, offset in zip(terms[1:], offsets[1:]):
-            here = lists.get(term)
-            if here is None:
-                exact, near = exact[:0], near & False
-                break
-            near[near] = _any_between(here, low[near], high[near])
-            exact = exact[_within(here, exact + offset)]
-            if not near.any():
-                exact = exact[:0]
-                break
-        for place in exact:
-            hits = found.setdefault(document(place), (set(), set(), []))
-            hits[0].update(row["items"])
-            hits[2].append((int(place), int(place) + size))
-        for d in set(doc[near].tolist()):
-            found.setdefault(d, (set(), set(), []))[1].update(row["items"])
-    return found
-
-
-def _covered(intervals: list[tuple[int, int]]) -> int:
-    total, reached = 0, -1
-    for start, end in sorted(intervals):
-        total += max(0, end - max(start, reached))
-        reached = max(reached, end)
-    return total
-
-
-_HITS = "block bigint, place int, n_hit bigint, n_items bigint, items_sha256 string, n_near bigint, items array<string>"
-
-
-def search(index: DataFrame, items: DataFrame, length: int = WINDOW, slack: int = SLACK) -> DataFrame:
-    """Documents with an exact or proximity match, by block and place in it."""
-    cut = written_table(windows(items, length), "windows")
-    wanted = written_table(cut.select(F.explode("terms").alias("_term")).distinct(), "window-terms")
-    postings = index.select("block", "term", "n", "positions").join(
-        wanted, F.col("term") == F.col("_term"), "left_semi"
-    )
-    ranked = written_table(_rarest_first(cut, postings), "ranked-windows")
-    asked = (
-        index.select("block", F.col("term").alias("_rarest"))
-        .join(ranked, F.col("_rarest") == F.col("rarest"))
-        .select(F.col("block").alias("in_block"), "items", "term", "offset")
+class _Lists:
+    """The position lists of one block, as one sorted array of term and position."""
+
+    def __init__(self, numbers: np.ndarray, lists: pa.ListArray):
+        order = np.argsort(numbers)
+        self.numbers = numbers[order]
+        lists = lists.take(pa.array(order))
+        self.counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.first = np.concatenate(([0], np.cumsum(self.counts)))
+        self.positions = lists.flatten().to_numpy().astype(np.int64)
+        self._keys = (np.repeat(np.arange(len(order)), self.counts) << 32) | self.positions
+
+    def places(self, numbers: np.ndarray) -> np.ndarray:
+        """Places of terms among those of the block, -1 for others."""
+        at = np.minimum(np.searchsorted(self.numbers, numbers), len(self.numbers) - 1)
+        return np.where(self.numbers[at] == numbers, at, -1)
+
+    def any_between(self, terms: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether each term has a position from ``low`` to ``high``."""
+        at = np.searchsorted(self._keys, (terms << 32) | low)
+        return (at < len(self._keys)) & (self._keys[np.minimum(at, len(self._keys) - 1)] <= ((terms << 32) | high))
+
+
+def _search_block(lists: _Lists, starts: np.ndarray, ends: np.ndarray, rows: pa.Table, slack: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Place of the document, window, start, end and exactness of the matches in one block."""
+    window = rows.column("window").to_numpy()
+    term_lists, offset_lists = (rows.column(c).combine_chunks() for c in ("number", "offset"))
+    sizes = term_lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    terms, offsets = lists.places(term_lists.flatten().to_numpy()), offset_lists.flatten().to_numpy().astype(np.int64)
+    there = np.flatnonzero(np.minimum.reduceat(terms, first) >= 0)
+    n_anchors = lists.counts[terms[first[there]]]
+    parts = np.cumsum(n_anchors) // ANCHORS
+    for part in np.unique(parts):
+        chosen, n = there[parts == part], n_anchors[parts == part]
+        of = np.repeat(chosen, n)
+        inside = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        anchor = lists.positions[lists.first[terms[first[of]]] + inside]
+        document = np.searchsorted(starts, anchor, side="right") - 1
+        size = sizes[of]
+        begin = anchor - offsets[first[of]]
+        low = np.maximum(anchor - size - slack, starts[document])
+        high = np.minimum(anchor + size + slack, ends[document] - 1)
+        exact, near = begin >= starts[document], np.ones(len(of), dtype=bool)
+        for k in range(1, int(size.max(initial=1))):
+            alive = np.flatnonzero(near & (size > k))
+            at = first[of[alive]] + k
+            near[alive] = lists.any_between(terms[at], low[alive], high[alive])
+            exact &= near
+            alive = np.flatnonzero(exact & (size > k))
+            at = first[of[alive]] + k
+            place = begin[alive] + offsets[at]
+            exact[alive] = lists.any_between(terms[at], place, place)
+        # Of the places near each other in a document the first one tells that there is one.
+        found = np.flatnonzero(exact)
+        close = np.flatnonzero(near & ~exact)
+        pairs, firsts = np.unique(np.stack([document[close], of[close]]), axis=1, return_index=True)
+        close = close[firsts]
+        base_exact, base_close = starts[document[found]], starts[document[close]]
+        yield document[found], window[of[found]], begin[found] - base_exact, begin[found] - base_exact + size[found], np.ones(len(found), bool)
+        yield document[close], window[of[close]], low[close] - base_close, high[close] - base_close + 1, np.zeros(len(close), bool)
+
+
+_MATCHES = "block bigint, place int, window bigint, start int, end int, exact boolean"
+
+
+def search(index: DataFrame, items: DataFrame, length: int = WINDOW, slack: int = SLACK) -> tuple[DataFrame, DataFrame]:
+    """Matches by block and place of the document in it, and the items of every window.
+
+    Of an exact match start and end are the words of the document it covers. Of proximity matches a document has one for every window;
+    start and end are the stretch around the first rarest term that has all the others.
+    """
+    raw = written_table(windows(items, length), "windows")
+    cut = written_table(raw.select("terms").distinct().withColumn("window", F.monotonically_increasing_id()), "distinct-windows")
+    of_items = written_table(raw.join(cut, "terms").select("window", "item").distinct(), "window-items")
+    distinct_terms = cut.select(F.explode("terms").alias("term")).distinct()
+    numbers = written_table(distinct_terms.withColumn("number", F.monotonically_increasing_id()), "window-terms")
+    postings = index.select("block", "term", "n", "positions").join(numbers, "term").select("block", "number", "n", "positions")
+    ranked = written_table(_rarest_first(cut, postings, numbers), "ranked-windows")
+    present = index.select("block", "term").join(numbers, "term").select("block", F.col("number").alias("_rarest"))
+    asked = present.join(ranked, F.col("_rarest") == F.col("rarest")).select(F.col("block").alias("in_block"), "window", "number", "offset")
+    texts = index.where(F.col("term") == F.lit(STARTS))
+    starts, lengths = (
+        texts.select("block", F.lit(number).cast("bigint").alias("number"), F.col(c).alias("positions"))
+        for number, c in ((-1, "positions"), (-2, "lengths"))
     )
-    starts = index.where(F.col("term") == F.lit(STARTS)).select("block", "term", "n", "positions")
-    brought = postings.unionByName(starts)
-    out = arrow_schema(_HITS)
+    brought = postings.select("block", "number", "positions").unionByName(starts).unionByName(lengths)
+    out = arrow_schema(_MATCHES)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = []
-        if left.num_rows and right.num_rows:
-            block = left.column("in_block")[0].as_py()
-            lists = {
-                t.as_py(): p.values.to_numpy() for t, p in zip(right.column("term"), right.column("positions"))
-            }
-            for place, (exact, near, intervals) in _search_block(lists, left.to_pylist(), slack).items():
-                names = sorted(exact)
-                digest = hashlib.sha256(",".join(names).encode()).hexdigest()
-                rows.append((block, place, _covered(intervals), len(names), digest, len(near), names))
-        columns = list(zip(*rows)) if rows else [()] * len(out)
-        return pa.Table.from_batches([arrow_batch(columns, out)])
-
-    return asked.groupBy("in_block").cogroup(brought.groupBy("block")).applyInArrow(run, _HITS)
+        if not left.num_rows or not right.num_rows:
+            return pa.Table.from_batches([], schema=out)
+        block = left.column("in_block")[0].as_py()
+        numbers, lists = right.column("number").to_numpy(), right.column("positions").combine_chunks()
+        starts, sizes = (lists[int(np.flatnonzero(numbers == n)[0])].values.to_numpy().astype(np.int64) for n in (-1, -2))
+        words = np.flatnonzero(numbers >= 0)
+        if not len(words):
+            return pa.Table.from_batches([], schema=out)
+        lists = _Lists(numbers[words], lists.take(pa.array(words)))
+        batches = [
+            arrow_batch([pa.array(np.full(len(found[0]), block)), *map(pa.array, found)], out)
+            for found in _search_block(lists, starts, starts + sizes, left, slack)
+        ]
+        return pa.Table.from_batches(batches, schema=out)
+
+    return asked.groupBy("in_block").cogroup(brought.groupBy("block")).applyInArrow(run, _MATCHES), of_items
+
+
+def _covered(spans: Column) -> Column:
+    """Number of words in a sorted array of start and end."""
+    zero = F.struct(F.lit(0).alias("total"), F.lit(0).alias("reached"))
+
+    def add(state: Column, span: Column) -> Column:
+        new = F.greatest(span["end"] - F.greatest(span["start"], state["reached"]), F.lit(0))
+        return F.struct((state["total"] + new).alias("total"), F.greatest(state["reached"], span["end"]).alias("reached"))
+
+    return F.aggregate(spans, zero, add, lambda state: state["total"])
+
+
+def _documents(index: DataFrame) -> DataFrame:
+    return index.where(F.col("term") == F.lit(STARTS)).select(
+        "block", F.posexplode(F.arrays_zip("doc_ids", "lengths")).alias("place", "doc")
+    )
+
+
+def match_rows(
+    docs: DataFrame, items: DataFrame, length: int = WINDOW, slack: int = SLACK, block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """doc_id, item, start, end (words of the document from 0, end exclusive) and kind: exact or near."""
+    index = build_index(docs, block_words)
+    matches, of_items = search(index, items, length, slack)
+    # Windows of one item may have the same stretch.
+    named = matches.join(of_items, "window").drop("window").distinct().join(_documents(index), ["block", "place"])
+    kind = F.when(F.col("exact"), "exact").otherwise("near").alias("kind")
+    return named.select(F.col("doc.doc_ids").alias("doc_id"), "item", F.col("start").cast("long"), F.col("end").cast("long"), kind)
 
 
 def contamination(
     docs: DataFrame, items: DataFrame, length: int = WINDOW, slack: int = SLACK, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
-    """Per document the words hit by windows of the items, and the items found."""
+    """Per document the words hit by windows of the items, and the items found.
+
+    ``n_near`` counts the items with a proximity match; an exact match is one.
+    """
     index = build_index(docs, block_words)
-    hits = search(index, items, length, slack).withColumnsRenamed({"block": "_block", "place": "_place"})
-    every = index.where(F.col("term") == F.lit(STARTS)).select(
-        "block", F.posexplode(F.arrays_zip("doc_ids", "lengths")).alias("place", "doc")
-    )
-    none = hashlib.sha256(b"").hexdigest()
-    joined = every.join(hits, (F.col("block") == F.col("_block")) & (F.col("place") == F.col("_place")), "left")
+    matches, of_items = search(index, items, length, slack)
+    matches = written_table(matches, "phrase-matches")
+    covered = (
+        matches.where("exact").groupBy("block", "place")
+        .agg(_covered(F.sort_array(F.collect_set(F.struct("start", "end")))).cast("bigint").alias("n_hit"))
+    )
+    listed = (
+        matches.select("block", "place", "window", "exact").distinct().join(of_items, "window")
+        .groupBy("block", "place")
+        .agg(
+            F.sort_array(F.collect_set(F.when(F.col("exact"), F.col("item")))).alias("items"),
+            F.countDistinct("item").alias("n_near"),
+        )
+    )
+    none = F.array().cast("array<string>")
+    joined = _documents(index).join(covered, ["block", "place"], "left").join(listed, ["block", "place"], "left")
+    joined = joined.withColumn("items", F.coalesce("items", none))
     return joined.select(
         F.col("doc.doc_ids").alias("doc_id"),
         F.col("doc.lengths").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
-        F.coalesce("n_items", F.lit(0)).alias("n_items"),
-        F.coalesce("items_sha256", F.lit(none)).alias("items_sha256"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         F.coalesce("n_near", F.lit(0)).alias("n_near"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        "items",
     )
 
 

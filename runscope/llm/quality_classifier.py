@@ -9,8 +9,9 @@ that good documents go through. Scores are ``sigmoid(strength - cut + logit(0.7)
 is exactly the cut.
 
 The fit uses a bounded sample: at most ``SAMPLE`` labelled documents, the first by a
-hash of their id, and ``PAIRS`` pairs of them. The driver receives the measures of
-this sample only. Everything else runs over all rows.
+hash of their id, and ``PAIRS`` pairs of them. The labelled rows are counted first; then only those whose hash lies
+below a bound that about ``2 * SAMPLE`` rows reach are sorted, so neither a task nor the driver meets more, whatever
+the size of the input. Everything else runs over all rows.
 
 Defined cases: a null text is an empty one. Empty texts have a score as any other. A
 null ``doc_id`` has no label and is not held out. Labels other than 0 and 1 are left out;
@@ -130,6 +131,23 @@ def learn(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, ridge: float = 1e
     return Ranking(mean, np.where(scale > 0, scale, 1.0), w, cut)
 
 
+def first_by_hash(rows: DataFrame, count: int, hashed: str, *ties: str) -> DataFrame:
+    """The first ``count`` rows by a 64-bit hash, without sorting many more.
+
+    Hashes are even, so a bound at a share of their range leaves about that share of the rows. Should too few
+    be left, the bound is moved up.
+    """
+    total = rows.count()
+    share = 2.0 * count / max(total, 1)
+    while share < 1.0:
+        below = rows.where(F.col(hashed) < int(-(2**63) + share * 2**64))
+        if below.count() >= count:
+            rows = below
+            break
+        share *= 2
+    return rows.orderBy(hashed, *ties).limit(count)
+
+
 def fit(x: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking | None:
     """Learn from the labelled documents that are not held out, at most ``sample`` of them."""
     known = labels.select(labels["doc_id"].alias("_id"), labels["quality"].alias("_quality"))
@@ -137,10 +155,8 @@ def fit(x: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking | None
         x.join(known.where(F.col("_quality").isin(0, 1)), F.col("doc_id") == F.col("_id"))
         .where(~held_out(F.col("doc_id")))
         .select("x", "_quality", F.xxhash64("doc_id").alias("_at"), "doc_id")
-        .orderBy("_at", "doc_id", "_quality", "x")
-        .limit(sample)
-        .toPandas()
     )
+    rows = first_by_hash(rows, sample, "_at", "doc_id", "_quality", "x").toPandas()
     if len(rows) == 0:
         return None
     return learn(np.array(rows["x"].tolist(), dtype=float), rows["_quality"].to_numpy() == 1)

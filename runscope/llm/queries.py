@@ -48,7 +48,7 @@ def op1_near_duplicates(spark, sf):
 @query
 def op2_phrase_index(spark, sf):
     found = phrase_index.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
-    return found.drop("items", "n_near")
+    return found.drop("items")
 
 
 @query

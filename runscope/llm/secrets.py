@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from runscope.llm.spans import SPAN, as_spans, as_text, count_of, in_order, matches, no_spans, overlaps_any, row_key
+from runscope.llm.spans import SPAN, as_spans, as_text, count_of, in_order, matches, no_spans, row_key, with_free
 from runscope.session import written_table
 
 REACH = 200
@@ -112,10 +112,8 @@ def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
         docs["doc_id"], row_key(text).alias("key"), strong_spans(text).alias("strong"), weak_spans(text).alias("weak")
     )
     found = written_table(raw, "secret-spans")
-    loose = F.filter("weak", lambda w: ~overlaps_any(w, F.col("strong")))
     parts = (
-        found.where(F.size("weak") > 0)
-        .select("doc_id", "key", "strong", loose.alias("weak"))
+        with_free(found.where(F.size("weak") > 0), ["doc_id", "key"], "weak", "strong")
         .select(
             "doc_id",
             "key",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 
@@ -117,6 +117,38 @@ def overlaps_any(span: Column, spans: Column) -> Column:
     return F.exists(spans, lambda s: (s["start"] < span["end"]) & (span["start"] < s["end"]))
 
 
+#: Pairs of spans that are compared one by one within a row.
+FEW_PAIRS = 4096
+
+
+def with_free(rows: DataFrame, keys: list[str], spans: str, others: str, few_pairs: int = FEW_PAIRS) -> DataFrame:
+    """Leave in the sorted array ``spans`` those that overlap none of the array ``others``.
+
+    Rows with few spans compare them directly. For the others the ends of ``spans`` and the starts of ``others`` are
+    sorted, by ``keys`` of the row: a span overlaps one of the others if, of those that start before its end,
+    the furthest ends after its start. So a text full of spans costs a sort, not every pair.
+    """
+    few = F.size(spans).cast("bigint") * F.size(others) <= few_pairs
+    direct = F.filter(spans, lambda s: ~overlaps_any(s, F.col(others)))
+    many = rows.where(~few)
+
+    def events(of: str, at: str, other: bool) -> DataFrame:
+        span = F.col("_span") if not other else F.lit(None).cast(rows.schema[spans].dataType.elementType)
+        listed = many.select(*keys, F.explode(of).alias("_span"))
+        return listed.select(*keys, F.col(f"_span.{at}").alias("_at"), F.lit(other).alias("_other"), F.col("_span.end").alias("_end"), span.alias("_span"))
+
+    in_row = Window.partitionBy(*keys).orderBy("_at", "_other").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    furthest = F.max(F.when(F.col("_other"), F.col("_end"))).over(in_row)
+    # Rows with the same keys are the same text.
+    every = events(spans, "end", False).unionByName(events(others, "start", True)).distinct().withColumn("_furthest", furthest)
+    free = every.where(~F.col("_other") & (F.coalesce("_furthest", F.lit(0)) <= F.col("_span.start")))
+    free = free.groupBy(*[F.col(k).alias(f"_same_{k}") for k in keys]).agg(F.sort_array(F.collect_list("_span")).alias("_free"))
+    same = [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys]
+    left = F.coalesce("_free", F.slice(spans, F.lit(1), F.lit(0)))
+    sorted_out = many.join(free, same, "left").withColumn(spans, left).select(*rows.columns)
+    return rows.where(few).withColumn(spans, direct).unionByName(sorted_out)
+
+
 def row_key(text: Column) -> Column:
     """Tells apart rows that share an id but not their text."""
     return F.xxhash64(text, F.length(text))
