@@ -9,14 +9,15 @@ from the later one (the one with the larger doc_id).
    number of pairs is linear in the lines, however many documents share one, and every line that an earlier
    document holds in a long enough block has a partner that holds it in one.
 2. A pair is aligned by patience diff: equal lines at both ends, then the longest increasing sequence of
-   lines that occur once in either document, and the same again between them.
+   lines that occur once in either document, and the same again between them. Where no line occurs once in both, the longest
+   common run of lines, by words, is aligned, and the same again before and behind it.
 3. A block is a run of aligned lines that follow each other in both documents. It is deleted if it
    has at least ``MIN_WORDS`` words; shorter ones, such as headings, stay.
-4. An alignment keeps the order and uses every line once, and has no anchors between passages that occur twice. So the
-   lines it leaves are looked up among the runs of step 1 of the earlier document: blocks that are repeated in
-   either document or stand in another order go as well. Together a document loses
-   all lines that are part of a block of ``MIN_WORDS`` words of any earlier document, and no others.
+4. An alignment uses every line once and keeps the order. So what is left of the later document is aligned again, until the
+   longest common run of lines left has fewer than ``MIN_WORDS`` words: passages that it repeats or has in another
+   order go as well. Lines that were deleted count in no further block.
 
+The earlier document of many pairs is sent once to each group of ``TOGETHER`` or so of its later ones.
 Only hashes of lines are joined and aligned; texts are read twice and moved once, to meet
 the lines that go.
 
@@ -30,6 +31,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,10 @@ from runscope.session import written_table
 
 MIN_WORDS = 10
 BLANK = 0
+#: Later documents that meet an earlier one in one row, on average.
+TOGETHER = 32
+#: Common runs that are searched one in another where no line is unique; further ones are paired by their number.
+RUNS_DEEP = 48
 #: Hashes of runs are sums of the lines' hashes times powers of an odd number, which has an inverse.
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
@@ -69,11 +75,59 @@ def _longest_increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return found[::-1]
 
 
-def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Pairs of positions of equal lines, increasing in both, by patience diff."""
-    found, todo = [], [(0, len(a), 0, len(b))]
+def _longest_common_run(a: list[int], b: list[int], total: list[int]) -> tuple[int, int, int]:
+    """Start in ``a``, start in ``b`` and lines of the common run with the most words; ``total`` adds up the words of b.
+
+    A suffix automaton of ``a`` follows ``b``, so the time is linear however often lines are repeated.
+    """
+    step, link, size, end = [{}], [-1], [0], [0]
+    last = 0
+    for k, x in enumerate(a, 1):
+        new, p = len(step), last
+        step.append({})
+        link.append(0)
+        size.append(size[last] + 1)
+        end.append(k)
+        while p >= 0 and x not in step[p]:
+            step[p][x] = new
+            p = link[p]
+        if p >= 0:
+            q = step[p][x]
+            if size[q] == size[p] + 1:
+                link[new] = q
+            else:
+                copy = len(step)
+                step.append(dict(step[q]))
+                link.append(link[q])
+                size.append(size[p] + 1)
+                end.append(end[q])
+                while p >= 0 and step[p].get(x) == q:
+                    step[p][x] = copy
+                    p = link[p]
+                link[q] = link[new] = copy
+        last = new
+    best, state, length = (0, 0, 0, 0), 0, 0
+    for k, x in enumerate(b, 1):
+        while state and x not in step[state]:
+            state = link[state]
+            length = size[state]
+        if x in step[state]:
+            state, length = step[state][x], length + 1
+        words = total[k] - total[k - length]
+        if words > best[0]:
+            best = words, end[state] - length, k - length, length
+    return best[1:]
+
+
+def aligned(a: list[int], b: list[int], words: list[int] | None = None, least: int = MIN_WORDS) -> list[tuple[int, int]]:
+    """Pairs of positions of equal lines, increasing in both, by patience diff.
+
+    ``words`` of each line of b; without them a line is a block by itself.
+    """
+    words = [least] * len(b) if words is None else words
+    found, todo = [], [(0, len(a), 0, len(b), 0)]
     while todo:
-        i, i_end, j, j_end = todo.pop()
+        i, i_end, j, j_end, deep = todo.pop()
         while i < i_end and j < j_end and a[i] == b[j]:
             found.append((i, j))
             i, j = i + 1, j + 1
@@ -85,48 +139,96 @@ def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         in_a, in_b = Counter(a[i:i_end]), Counter(b[j:j_end])
         place = {x: k for k, x in enumerate(b[j:j_end], j) if in_b[x] == 1 and x != BLANK}
         anchors = _longest_increasing([(k, place[x]) for k, x in enumerate(a[i:i_end], i) if in_a[x] == 1 and x in place])
-        if anchors:
-            for (p, q), (p_end, q_end) in zip([(i - 1, j - 1), *anchors], [*anchors, (i_end, j_end)]):
-                if p >= i:
-                    found.append((p, q))
-                todo.append((p + 1, p_end, q + 1, q_end))
+        if not anchors:
+            # What is too short for a block needs no search.
+            if sum(w for x, w in zip(b[j:j_end], words[j:j_end]) if x in in_a) < least:
+                continue
+            if deep < RUNS_DEEP:
+                p, q, n = _longest_common_run(a[i:i_end], b[j:j_end], list(accumulate(words[j:j_end], initial=0)))
+                p, q = p + i, q + j
+                if sum(words[q : q + n]) < least:
+                    continue
+                found += zip(range(p, p + n), range(q, q + n))
+                todo += [(i, p, j, q, deep + 1), (p + n, i_end, q + n, j_end, deep + 1)]
+                continue
+            anchors = _longest_increasing(_numbered_pairs(a, i, i_end, b, j, j_end))
+        for (p, q), (p_end, q_end) in zip([(i - 1, j - 1), *anchors], [*anchors, (i_end, j_end)]):
+            if p >= i:
+                found.append((p, q))
+            todo.append((p + 1, p_end, q + 1, q_end, deep))
     return sorted(found)
 
 
-def _aligned_blocks(a: list[int], b: list[int], words: list[int], least: int) -> list[tuple[int, int]]:
-    """Ranges of lines of ``b`` that are aligned with lines of ``a`` in one piece of at least ``least`` words."""
+def _numbered_pairs(a: list[int], i: int, i_end: int, b: list[int], j: int, j_end: int) -> list[tuple[int, int]]:
+    """The first occurrence of a line in one document with the first in the other, the second with the second, and so on."""
+    seen: Counter = Counter()
+    place = {}
+    for k, x in enumerate(b[j:j_end], j):
+        place[x, seen[x]] = k
+        seen[x] += 1
+    seen.clear()
+    pairs = []
+    for k, x in enumerate(a[i:i_end], i):
+        if x != BLANK and (x, seen[x]) in place:
+            pairs.append((k, place[x, seen[x]]))
+        seen[x] += 1
+    return pairs
+
+
+def aligned_blocks(a: list[int], b: list[int], words: list[int], least: int = MIN_WORDS) -> list[tuple[int, int, int]]:
+    """Start in ``a``, start in ``b`` and lines of the pieces that are aligned and have at least ``least`` words."""
     blocks: list[list[int]] = []
     last = None
-    for i, j in aligned(a, b):
+    for i, j in aligned(a, b, words, least):
         if last and (i, j) == (last[0] + 1, last[1] + 1):
-            blocks[-1][1] = j + 1
+            blocks[-1][2] += 1
         else:
-            blocks.append([j, j + 1])
+            blocks.append([i, j, 1])
         last = (i, j)
-    return [(s, e) for s, e in blocks if sum(words[s:e]) >= least]
+    return [(i, j, n) for i, j, n in blocks if sum(words[j : j + n]) >= least]
 
 
 def common_blocks(a: list[int], b: list[int], words: list[int], least: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """Ranges of lines of ``b`` that are in a common block of at least ``least`` words (``words`` of each line of b)."""
-    least = max(1, least)
-    edges = np.zeros(len(b) + 1, dtype=np.int64)
-    for s, e in _aligned_blocks(a, b, words, least):
-        edges[s] += 1
-        edges[e] -= 1
-    held = set(a)
-    if any(x in held and not c for x, c in zip(b, np.cumsum(edges[:-1]).tolist())):
-        # Lines of a that b lacks have no words here; runs with such a line are not in b anyway.
-        of_line = dict(zip(b, words))
-        _, _, known = runs(np.array(a, dtype=np.int64), np.array([of_line.get(x, 0) for x in a], dtype=np.int64), least)
-        starts, ends, keys = runs(np.array(b, dtype=np.int64), np.array(words, dtype=np.int64), least)
-        found = np.isin(keys, known)
-        np.add.at(edges, starts[found], 1)
-        np.add.at(edges, ends[found], -1)
-    inside = np.concatenate(([0], np.cumsum(edges) > 0)).astype(np.int8)
-    turns = np.diff(inside)
+    """Ranges of lines of ``b`` that alignments with ``a`` take in blocks (``words`` of each line of b)."""
+    least, in_a = max(1, least), set(a) - {BLANK}
+    left, gone = list(b), np.zeros(len(b), dtype=bool)
+    while sum(w for x, w in zip(left, words) if x in in_a) >= least:
+        blocks = aligned_blocks(a, left, words, least)
+        if not blocks:
+            # Short lines that keep the order may have stood against a block that does not.
+            i, j, n = _longest_common_run(a, left, list(accumulate(words, initial=0)))
+            if sum(words[j : j + n]) < least:
+                break
+            blocks = [(i, j, n)]
+        now = _repetitions(np.array(b, dtype=np.int64), np.array(words, dtype=np.int64), blocks, gone, least)
+        for _, j, n in blocks:
+            now[j : j + n] = True
+        for k in np.flatnonzero(now).tolist():
+            # Equal to no line.
+            left[k] = (1 << 64) + k
+        gone |= now
+    turns = np.diff(np.concatenate(([0], gone, [0])).astype(np.int8))
     return list(zip(np.nonzero(turns == 1)[0].tolist(), np.nonzero(turns == -1)[0].tolist()))
 
 
+def _repetitions(b: np.ndarray, words: np.ndarray, blocks: list, gone: np.ndarray, least: int) -> np.ndarray:
+    """Lines of b not gone yet that repeat parts of the blocks just aligned: all at once, not one in each alignment."""
+    now = np.zeros(len(b), dtype=bool)
+    inside = now.copy()
+    for _, j, n in blocks:
+        inside[j : j + n] = True
+    held = np.isin(b, b[inside & (b != BLANK)])
+    if not (held & ~inside & ~gone).any():
+        return now
+    known = np.concatenate([runs(b[j : j + n], words[j : j + n], least)[2] for _, j, n in blocks])
+    turns = np.diff(np.concatenate(([0], ~gone, [0])).astype(np.int8))
+    for s, e in zip(np.nonzero(turns == 1)[0].tolist(), np.nonzero(turns == -1)[0].tolist()):
+        starts, ends, keys = runs(b[s:e], words[s:e], least)
+        for k in np.flatnonzero(np.isin(keys, known)).tolist():
+            now[s + starts[k] : s + ends[k]] = True
+    return now
+
+
 def runs(hashes: np.ndarray, words: np.ndarray, least: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and hash of the shortest runs of lines with ``least`` words: from every line on, and up to every line."""
     n, least = len(words), max(1, least)
@@ -196,20 +298,25 @@ def common_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ranges = [
-                [{"start": s, "end": e} for s, e in common_blocks(a, b, words, min_words)]
-                for a, b, words in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "words")))
-            ]
-            keep = pa.array([bool(r) for r in ranges], pa.bool_())
-            yield arrow_batch([batch.column("later"), ranges], schema).filter(keep)
+            for a, group in zip(batch.column("a").to_pylist(), batch.column("group").to_pylist()):
+                found = [(d["later"], common_blocks(a, d["b"], d["words"], min_words)) for d in group]
+                found = [(later, [{"start": s, "end": e} for s, e in ranges]) for later, ranges in found if ranges]
+                if found:
+                    yield arrow_batch(zip(*found), schema)
 
     first = documents.select(F.col("document").alias("_a"), F.col("hashes").alias("a"))
     second = documents.select(F.col("document").alias("_b"), F.col("hashes").alias("b"), "words")
-    met = (
-        pairs.join(second, F.col("later") == F.col("_b"))
-        .join(first, F.col("earlier") == F.col("_a"))
-        .select("later", "a", "b", "words")
+    # Later documents are dealt by their number for each earlier one, which then travels once to every group.
+    many = pairs.groupBy("earlier").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("earlier", "_earlier")
+    dealt = pairs.join(many, F.col("earlier") == F.col("_earlier")).select(
+        "later", "earlier", F.pmod(F.xxhash64("later"), F.ceil(F.col("_n") / TOGETHER)).alias("_part")
+    )
+    groups = (
+        dealt.join(second, F.col("later") == F.col("_b"))
+        .groupBy("earlier", "_part")
+        .agg(F.collect_list(F.struct("later", "b", "words")).alias("group"))
     )
+    met = groups.join(first, F.col("earlier") == F.col("_a")).select("a", "group")
     return (
         met.mapInArrow(run, _RANGES)
         .select("later", F.explode("ranges").alias("range"))

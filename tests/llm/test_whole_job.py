@@ -72,18 +72,66 @@ def marked(ranges):
     return {k for s, e in ranges for k in range(s, e)}
 
 
-def test_common_blocks_are_all_found():
+def lines_and_lengths(rng):
+    few = rng.randrange(2, 9)
+    size = {x: 0 if x == la.BLANK else rng.choice([1, 3, 5, 9, 12]) for x in range(few)}
+    a, b = ([rng.randrange(few) for _ in range(rng.randrange(16))] for _ in "ab")
+    return a, b, [size[x] for x in b]
+
+
+def left_lines(b, ranges):
+    gone = marked(ranges)
+    return [(1 << 70) + k if k in gone else x for k, x in enumerate(b)]
+
+
+def test_alignments_leave_no_common_block():
+    """Only lines of common blocks go, and of the lines left no ten words in a row are common."""
     rng = random.Random(13)
     for _ in range(3000):
-        few = rng.randrange(2, 9)
-        size = {x: 0 if x == la.BLANK else rng.choice([1, 3, 5, 9, 12]) for x in range(few)}
-        a, b = ([rng.randrange(few) for _ in range(rng.randrange(16))] for _ in "ab")
-        lengths = [size[x] for x in b]
+        a, b, lengths = lines_and_lengths(rng)
         got = la.common_blocks(a, b, lengths)
-        assert marked(got) == marked(every_block(a, b, lengths))
+        assert marked(got) <= marked(every_block(a, b, lengths))
+        assert every_block(a, left_lines(b, got), lengths) == []
         assert all(e < s for (_, e), (s, _) in zip(got, got[1:]))
 
 
+def test_the_alignment_decides_what_goes():
+    """A line whose block needs lines that are aligned elsewhere stays; a look-up of common runs would take it."""
+    a, b, words = [1, 2, 9, 2, 3], [1, 2, 3], [8, 3, 8]
+    assert marked(every_block(a, b, words)) == {0, 1, 2}
+    assert la.aligned_blocks(a, b, words) in ([(0, 0, 2)], [(3, 1, 2)]) and len(marked(la.common_blocks(a, b, words))) == 2
+
+
+def test_one_alignment_keeps_the_order():
+    p, q, r = [11, 12, 13, 14], [21, 22], [31]
+    a, b = [*p, 1, *q, 2, *r], [*q, 3, *r, 4, *p]
+    words = [5] * len(b)
+    assert la.aligned_blocks(a, b, words) == [(0, 5, 4)]
+    # The other ones go in the next alignment, where they have the words.
+    assert la.common_blocks(a, b, words) == [(0, 2), (5, 9)]
+
+
+def shortest_common_run(a, b, words):
+    """The most words of a common run, by comparing all places."""
+    return max((sum(words[j : j + n]) for i in range(len(a)) for j in range(len(b)) for n in range(1, 17) if i + n <= len(a) and j + n <= len(b) and a[i : i + n] == b[j : j + n]), default=0)
+
+
+def test_longest_common_run():
+    rng = random.Random(17)
+    for _ in range(1500):
+        a, b, words_of_b = lines_and_lengths(rng)
+        i, j, n = la._longest_common_run(a, b, list(itertools.accumulate(words_of_b, initial=0)))
+        assert a[i : i + n] == b[j : j + n] and sum(words_of_b[j : j + n]) == shortest_common_run(a, b, words_of_b)
+
+
+def test_many_repetitions_take_little_time():
+    a, b = [5] * 3_000, [x for k in range(3_000) for x in (5, 100 + k)]
+    assert marked(la.common_blocks(a, b, [12] * len(b))) == set(range(0, 6_000, 2))
+    assert la.common_blocks(b, a, [12] * len(a)) == [(0, 3_000)]
+    some = [k % 7 + 1 for k in range(4_000)]
+    assert la.common_blocks(some, some[::-1], [3] * 4_000) == []
+
+
 def test_a_passage_that_is_repeated_in_the_first_or_the_later_document(frame):
     rng = random.Random(14)
     p, own = passage(rng, 4), iter(passage(rng, 200))
@@ -100,7 +148,15 @@ def test_partners_and_blocks_equal_all_pairs_in_any_order(frame):
     for i in range(60):
         parts = [base[k : k + rng.randrange(1, 4)] for k in (rng.randrange(13) for _ in range(6))]
         docs[i] = "\n".join(x for part in parts for x in [*part, *passage(rng, rng.random() < 0.3, 2)])
-    assert cleaned(frame, docs) == all_pairs(docs, every_block)
+    lines = {i: [hash(x) if x else la.BLANK for x in t.split("\n")] for i, t in docs.items()}
+    counts = {i: [len(x.split()) for x in t.split("\n")] for i, t in docs.items()}
+    ranges = {r["doc_id"]: [(x["start"], x["end"]) for x in r["ranges"]] for r in la.common_lines(frame(docs.items())).collect()}
+    for b in docs:
+        held = [every_block(lines[a], lines[b], counts[b]) for a in docs if a < b]
+        assert marked(ranges.get(b, [])) <= marked(x for found in held for x in found)
+        # No ten words in a row that stay are in any earlier document.
+        left = left_lines(lines[b], ranges.get(b, []))
+        assert all(every_block(lines[a], left, counts[b]) == [] for a in docs if a < b)
 
 
 def test_stage_of_near_duplicates_links_from_80_percent_on(spark, frame):
