@@ -58,6 +58,11 @@ def _with(*parts: str) -> str:
 
 _ON_RUNS = _with(_RUNS)
 
+# Value and accuracy of every run by column, as doubles.
+_HP_LONG = "long AS (" + " UNION ALL ".join(
+    f"SELECT search_space_id, '{c}' AS hp, CAST(COALESCE({c}, 0) AS DOUBLE) AS v, CAST(val_accuracy AS DOUBLE) AS y FROM runs" for c in _HP
+) + ")"
+
 _PROFILES = f"""profiles AS (
   SELECT search_space_id, dataset_id, COUNT(*) AS n_runs,
     {_mean('val_accuracy', 4)} AS avg_acc, {_max('val_accuracy')} AS best_acc,
@@ -542,6 +547,23 @@ def oracle_sql() -> dict[str, str]:
             "test AS (SELECT CAST(val_accuracy AS DOUBLE) AS y, p FROM runs JOIN means USING (epochs) WHERE md5(run_id) >= 'cccc')",
         )
         + "SELECT COUNT(*) AS rows, ROUND(1 - SUM((y - p) * (y - p)) / (VAR_POP(y) * COUNT(*)), 6) AS r2 FROM test",
+        "space_surrogate_bounds": _ON_RUNS
+        + "SELECT search_space_id, COUNT(*) AS rows, TRUE AS r2_from_099 FROM runs GROUP BY search_space_id",
+        "space_top_hp": _with(_RUNS, _HP_LONG)
+        + "SELECT search_space_id, hp, rank FROM (SELECT search_space_id, hp, ROW_NUMBER() OVER (PARTITION BY search_space_id"
+        " ORDER BY SUM(s * s / n) DESC, hp) AS rank FROM (SELECT search_space_id, hp, v, SUM(y) AS s, COUNT(*) AS n FROM long GROUP BY ALL)"
+        " GROUP BY search_space_id, hp) WHERE rank <= 2",
+        "space_first_splits": _with(
+            _RUNS,
+            _HP_LONG,
+            "cells AS (SELECT search_space_id, hp, v, COUNT(*) AS n, SUM(y) AS s FROM long GROUP BY ALL)",
+            "cuts AS (SELECT search_space_id, hp, v, LEAD(v) OVER one AS next, SUM(n) OVER one AS ln, SUM(s) OVER one AS ls,"
+            " SUM(n) OVER every AS n, SUM(s) OVER every AS s FROM cells"
+            " WINDOW one AS (PARTITION BY search_space_id, hp ORDER BY v), every AS (PARTITION BY search_space_id, hp))",
+            "gains AS (SELECT *, ls * ls / ln + (s - ls) * (s - ls) / (n - ln) - s * s / n AS gain FROM cuts WHERE next IS NOT NULL)",
+        )
+        + "SELECT search_space_id, hp, ROUND((v + next) / 2, 6) AS threshold, ROUND(gain, 4) AS gain FROM gains"
+        " QUALIFY ROW_NUMBER() OVER (PARTITION BY search_space_id ORDER BY gain DESC, hp, v) = 1",
         # search
         "random_candidates": f"WITH {_SPACE_CANDIDATES}\nSELECT search_space_id, candidate, "
         + ", ".join(f"{_draw('key', i)} AS {c}" for i, c in enumerate(_HP)) + " FROM candidates",

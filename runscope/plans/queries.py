@@ -6,13 +6,14 @@ import math
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from runscope.functions import names
 from runscope.functions.measures import lr_band, mean, speed_label
 from runscope.operators import (
     features as feat,
     filters as flt,
+    forests,
     neighbours as near,
     ranking as rank,
     running as run,
@@ -485,7 +486,7 @@ def fit_surrogate(spark, sf):
         runs = feat.encode(runs, column, feat.alphabetical_labels(plain, column), output)
     inputs = [*SETTINGS, *labels_in.values()]
     model = surr.fit_surrogate(runs, inputs, trees=TREES)
-    return surr.predict(model, runs, inputs).select("run_id", "val_accuracy", "prediction")
+    return surr.predict(model, runs).select("run_id", "val_accuracy", "prediction")
 
 
 @query
@@ -495,12 +496,40 @@ def hp_importance(spark, sf):
 
 @query
 def space_surrogates(spark, sf):
-    path = fresh_path(spark, "runs-by-space")
-    src.write_runs(_runs(spark, sf).select("search_space_id", *HP, "val_accuracy"), path)
-    runs = src.scan_runs(spark, path)
-    spaces = sorted(r[0] for r in summ.list_spaces(runs).collect())
-    models = surr.space_surrogates(runs, HP, spaces, trees=SPACE_TREES)
-    return surr.space_surrogate_quality(runs, HP, models)
+    runs = _runs(spark, sf)
+    return surr.space_surrogate_quality(runs, surr.space_surrogates(runs, HP, trees=SPACE_TREES))
+
+
+@query
+def space_surrogate_bounds(spark, sf):
+    """Whether the forest of every space explains nearly all of a noiseless accuracy."""
+    found = space_surrogates(spark, sf)
+    return found.select("search_space_id", "rows", (F.col("r2") >= 0.99).alias("r2_from_099"))
+
+
+@query
+def space_hp_importance(spark, sf):
+    return surr.hp_importance(surr.space_surrogates(_runs(spark, sf), HP, trees=SPACE_TREES))
+
+
+@query
+def space_top_hp(spark, sf):
+    """The two most important columns of every space."""
+    found = space_hp_importance(spark, sf)
+    rank = F.row_number().over(Window.partitionBy("search_space_id").orderBy(F.desc("importance"), "hp"))
+    return found.select("search_space_id", "hp", rank.cast("long").alias("rank")).where("rank <= 2")
+
+
+@query
+def space_first_splits(spark, sf):
+    """The best single split of every space, over all its runs."""
+    model = forests.fit_forests(_runs(spark, sf), HP, by=["search_space_id"], trees=1, depth=1, sample=False)
+    first = lambda c: F.get(c, F.lit(0))
+    hp = F.get(F.array(*[F.lit(c) for c in HP]), first("feature"))
+    found = forests.with_groups(model, model.subtrees).where("tree = 0")
+    return found.select(
+        "search_space_id", hp.alias("hp"), F.round(first("threshold"), 6).alias("threshold"), F.round(first("gain"), 4).alias("gain")
+    )
 
 
 @query
@@ -525,7 +554,7 @@ def random_settings(spark, sf):
 def score_candidates(spark, sf):
     runs = _runs(spark, sf)
     model = surr.fit_surrogate(runs, HP, trees=TREES)
-    return srch.score_candidates(model, srch.random_candidates(summ.list_spaces(runs), HP), HP, 10)
+    return srch.score_candidates(model, srch.random_candidates(summ.list_spaces(runs), HP), 10)
 
 
 @query
@@ -542,7 +571,7 @@ def score_settings(spark, sf):
     inputs = [*SETTINGS, "optimizer_enc", "space_enc"]
     model = surr.fit_surrogate(coded, inputs, trees=SPACE_TREES)
     known = F.col("optimizer_enc").isNotNull() & F.col("space_enc").isNotNull()
-    return srch.score_candidates(model, candidates, inputs, 10, known)
+    return srch.score_candidates(model, candidates, 10, known)
 
 
 def _halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

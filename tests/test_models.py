@@ -90,9 +90,9 @@ def test_surrogate_quality_is_named_by_part(runs):
 
 def test_one_surrogate_per_space(spark, runs):
     rows = written_table(runs.where("search_space_id in (1, 2)").select("search_space_id", "val_accuracy", *HP), "two-spaces")
-    models = surr.space_surrogates(rows, HP, [1, 2], trees=3, depth=3, parallelism=2)
-    found = surr.space_surrogate_quality(rows, HP, models).collect()
-    assert sorted(models) == [1, 2] and sum(r["rows"] for r in found) == rows.count()
+    model = surr.space_surrogates(rows, HP, trees=3, depth=3)
+    found = surr.space_surrogate_quality(rows, model).collect()
+    assert sorted(r["search_space_id"] for r in found) == [1, 2] and sum(r["rows"] for r in found) == rows.count()
 
 
 def test_pca_is_centred_and_ordered(spark, runs):
@@ -114,7 +114,7 @@ def test_candidates_cover_the_unit_cube(spark):
 def test_unknown_labels_score_zero(spark, runs):
     model = surr.fit_surrogate(runs, HP, trees=3, depth=3)
     candidates = srch.random_candidates(spark.createDataFrame([(1,), (99,)], "search_space_id int"), HP, 20)
-    scored = srch.score_candidates(model, candidates, HP, 40, known=F.col("search_space_id") == 1)
+    scored = srch.score_candidates(model, candidates, 40, known=F.col("search_space_id") == 1)
     assert {r["search_space_id"]: r["m"] for r in scored.groupBy("search_space_id").agg(F.max("score").alias("m")).collect()}[99] == 0.0
     assert scored.where("search_space_id = 1").agg(F.min("score")).first()[0] > 0.4
 
