@@ -2,8 +2,9 @@
 
 An average of doubles depends on the order of the additions, so the last digit
 of a rounded mean can change with the partitioning or with a retried task. Here a
-value is split into whole millionths, summed as DECIMAL, plus whole millionths of a
-millionth, summed as BIGINT. Those sums are associative and are turned into a
+value is split into whole millionths plus whole millionths of a
+millionth, and the former into a high and a low part; the three are summed as BIGINT, which stays in generated code.
+Those sums are associative and are turned into a
 mean by integer arithmetic once per group. NaN counts as missing throughout.
 """
 
@@ -12,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 _UNIT = 1_000_000
-# Sums of this type hold ten digits more.
-_WHOLE = "decimal(28,0)"
+#: Between the high and the low part of whole millionths. A power of two, so that doubles are split exactly.
+_LOW = 1 << 24
 
 
 def present(value: Column | str) -> Column:
@@ -27,8 +28,11 @@ def whole_millionths(value: Column) -> Column:
     return F.rint(present(value).cast("double") * float(_UNIT)).cast("bigint")
 
 
-def _millionths(value: Column) -> Column:
-    return F.rint(value.cast("double") * float(_UNIT)).cast(_WHOLE)
+def _millionths(value: Column) -> tuple[Column, Column]:
+    """High and low part of the whole millionths."""
+    whole = F.rint(value.cast("double") * float(_UNIT))
+    high = F.floor(whole / float(_LOW))
+    return high, (whole - high.cast("double") * float(_LOW)).cast("bigint")
 
 
 def _rest(value: Column) -> Column:
@@ -48,7 +52,9 @@ def mean(value: Column | str, digits: int) -> Column:
     value = present(value)
     whole = lambda c: c.cast("decimal(38,0)")
     count = F.count(value)
-    total = whole(F.sum(_millionths(value))) * F.lit(_UNIT) + F.sum(_rest(value))
+    high, low = _millionths(value)
+    millionths = whole(F.sum(high)) * F.lit(_LOW) + F.sum(low)
+    total = whole(millionths) * F.lit(_UNIT) + F.sum(_rest(value))
     step = whole(count) * F.lit(10 ** (12 - digits))
     rounded = divide_half_up(whole(total), whole(step))
     return F.when(count > 0, rounded.cast("double") / F.lit(float(10**digits)))
