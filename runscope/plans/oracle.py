@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 # One run per line item, the same rule as the Spark adapter, in decimals.
 _RUNS = """runs AS (
   SELECT concat('run_', l_orderkey, '_', l_linenumber, '_', l_partkey, '_', l_suppkey) AS run_id,
@@ -187,47 +189,113 @@ heldout AS (SELECT run_id, search_space_id, val_accuracy, {filled} FROM runs WHE
 _BIN = "LEAST(CAST(floor({c} * 10) AS INTEGER), 9)"
 
 
-def _density() -> str:
+def _density(history: str = "history", heldout: str = "heldout", tag: str = "") -> str:
     tall = "\n  UNION ALL ".join(
-        f"SELECT search_space_id, '{c}' AS hp, {_BIN.format(c=c)} AS bin, good FROM marked" for c in _HP
+        f"SELECT search_space_id, '{c}' AS hp, {_BIN.format(c=c)} AS bin, good FROM marked{tag}" for c in _HP
     )
     terms = " + ".join(f"w{j}.weight" for j in range(len(_HP)))
     joins = "\n  ".join(
-        f"JOIN weights w{j} ON w{j}.search_space_id = h.search_space_id AND w{j}.hp = '{c}'"
+        f"JOIN weights{tag} w{j} ON w{j}.search_space_id = h.search_space_id AND w{j}.hp = '{c}'"
         f" AND w{j}.bin = {_BIN.format(c='h.' + c)}"
         for j, c in enumerate(_HP)
     )
-    return f"""{_good('history', 15, 'marked')},
-tall AS ({tall}),
-counted AS (SELECT s.search_space_id, h.hp, b.bin,
+    return f"""{_good(history, 15, f'marked{tag}')},
+tall{tag} AS ({tall}),
+counted{tag} AS (SELECT s.search_space_id, h.hp, b.bin,
     COUNT(t.bin) FILTER (t.good) AS g, COUNT(t.bin) FILTER (NOT t.good) AS r
-  FROM (SELECT DISTINCT search_space_id FROM history) s
+  FROM (SELECT DISTINCT search_space_id FROM {history}) s
   CROSS JOIN (SELECT unnest({_HP}) AS hp) h CROSS JOIN (SELECT CAST(unnest(range(10)) AS INTEGER) AS bin) b
-  LEFT JOIN tall t ON t.search_space_id = s.search_space_id AND t.hp = h.hp AND t.bin = b.bin
+  LEFT JOIN tall{tag} t ON t.search_space_id = s.search_space_id AND t.hp = h.hp AND t.bin = b.bin
   GROUP BY ALL),
-weights AS (SELECT search_space_id, hp, bin,
+weights{tag} AS (SELECT search_space_id, hp, bin,
     ln((g + 1)::DOUBLE / (SUM(g) OVER p + 10)) - ln((r + 1)::DOUBLE / (SUM(r) OVER p + 10)) AS weight
-  FROM counted WINDOW p AS (PARTITION BY search_space_id, hp)),
-dense AS (SELECT h.*, CAST({terms} AS DECIMAL(18,6)) AS density FROM heldout h
+  FROM counted{tag} WINDOW p AS (PARTITION BY search_space_id, hp)),
+dense{tag} AS (SELECT h.*, CAST({terms} AS DECIMAL(18,6)) AS density FROM {heldout} h
   {joins})"""
 
 
-def _elite(source: str, percent: int) -> str:
+def _elite(source: str, percent: int, tag: str = "") -> str:
     means = ", ".join(f"{_mean(c, 6)} AS mean_{c}" for c in _HP)
     deviations = ", ".join(f"ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 6) AS std_{c}" for c in _HP)
     pairs = [(a, b) for i, a in enumerate(_HP) for b in _HP[i + 1 :]]
     covariances = ", ".join(
         f"ROUND(COVAR_SAMP(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS cov_{a}_{b}" for a, b in pairs
     )
-    return f"""{_good(source, percent, 'elite_marked')},
-elite AS (SELECT search_space_id, COUNT(*) AS n_elite, {means}, {deviations}, {covariances}
-  FROM elite_marked WHERE good GROUP BY search_space_id)"""
+    return f"""{_good(source, percent, f'elite_marked{tag}')},
+elite{tag} AS (SELECT search_space_id, COUNT(*) AS n_elite, {means}, {deviations}, {covariances}
+  FROM elite_marked{tag} WHERE good GROUP BY search_space_id)"""
+
+
+_RIDGE = "0.0001::DOUBLE"
+
+
+def _factor(tag: str = "") -> str:
+    """The Cholesky factor of the covariances of ``elite``; a column may use those before it."""
+    columns = []
+    for j, b in enumerate(_HP):
+        minus = "".join(f" - l_{j}_{k} * l_{j}_{k}" for k in range(j))
+        pivot = f"COALESCE(std_{b}, 0) * COALESCE(std_{b}, 0) + {_RIDGE}{minus}"
+        columns.append(f"sqrt(GREATEST({pivot}, {_RIDGE})) AS l_{j}_{j}")
+        for i in range(j + 1, len(_HP)):
+            minus = "".join(f" - l_{i}_{k} * l_{j}_{k}" for k in range(j))
+            columns.append(f"(COALESCE(cov_{b}_{_HP[i]}, 0){minus}) / l_{j}_{j} AS l_{i}_{j}")
+    return f"factor{tag} AS (SELECT *, {', '.join(columns)} FROM elite{tag})"
+
+
+def _near_elite(source: str, tag: str = "") -> str:
+    """``scored``: the rows of ``source`` with their Mahalanobis distance to the elite."""
+    steps = []
+    for i, c in enumerate(_HP):
+        minus = "".join(f" - f.l_{i}_{j} * z{j}" for j in range(i))
+        steps.append(f"(CAST(d.{c} AS DOUBLE) - f.mean_{c}{minus}) / f.l_{i}_{i} AS z{i}")
+    total = " + ".join(f"z{i} * z{i}" for i in range(len(_HP)))
+    return f"""{_factor(tag)},
+scored{tag} AS (SELECT d.*, {', '.join(steps)}, CAST({total} AS DECIMAL(18,6)) AS distance
+  FROM {source} d JOIN factor{tag} f USING (search_space_id))"""
+
+
+def _elite_draws() -> str:
+    values = []
+    for i, c in enumerate(_HP):
+        normal = "".join(f" + l_{i}_{j} * u{j}" for j in range(i + 1))
+        values.append(f"ROUND(GREATEST(0::DOUBLE, LEAST(1::DOUBLE, mean_{c}{normal})), 6) AS {c}")
+    normals = ", ".join(
+        f"sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {_draw('key', 2 * i)})) * cos({2 * math.pi!r}::DOUBLE * {_draw('key', 2 * i + 1)}) AS u{i}"
+        for i in range(len(_HP))
+    )
+    return f"""drawn AS (SELECT *, {normals} FROM (SELECT *, CAST(i AS INTEGER) AS candidate, concat(search_space_id, '_', i) AS key
+  FROM factor, range(200) AS r(i)))
+SELECT search_space_id, candidate, {', '.join(values)} FROM drawn"""
+
+
+def _generations(count: int, size: int) -> str:
+    """Three methods, generation by generation: each learns from its own trials."""
+    order = {"random": "digest", "density_ratio": "density DESC", "elite": "distance"}
+
+    def first(rows: str, by: str, g: int) -> str:
+        return f"""SELECT search_space_id, {g} AS generation, CAST(place - 1 + {g * size} AS INTEGER) AS trial, run_id, val_accuracy, {', '.join(_HP)}
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY search_space_id ORDER BY {by}, run_id, val_accuracy DESC) AS place FROM {rows}) WHERE place <= {size}"""
+
+    filled = ", ".join(f"COALESCE({c}, 0) AS {c}" for c in _HP)
+    parts = [f"pool AS MATERIALIZED (SELECT run_id, search_space_id, val_accuracy, {filled}, md5(concat(run_id, ':42')) AS digest FROM runs)"]
+    parts += [f"{m}_0 AS MATERIALIZED ({first('pool', 'digest', 0)})" for m in order]
+    for g in range(1, count):
+        for m, by in order.items():
+            known, tag = f"{m}_{g - 1}", f"_{m}_{g}"
+            rest = f"rest{tag}"
+            parts.append(f"{rest} AS MATERIALIZED (SELECT * FROM pool p WHERE NOT EXISTS (SELECT 1 FROM {known} k WHERE k.search_space_id = p.search_space_id AND k.run_id = p.run_id))")
+            ranked = rest
+            if m == "density_ratio":
+                parts.append(_density(known, rest, tag))
+                ranked = f"dense{tag}"
+            elif m == "elite":
+                parts += [_elite(known, 10, tag), _near_elite(rest, tag)]
+                ranked = f"scored{tag}"
+            parts.append(f"{m}_{g} AS MATERIALIZED (SELECT * FROM {known} UNION ALL {first(ranked, by, g)})")
+    return ",\n".join(parts)
 
 
 def _replay() -> str:
-    gaps = " + ".join(
-        f"(CAST(d.{c} AS DOUBLE) - e.mean_{c}) * (CAST(d.{c} AS DOUBLE) - e.mean_{c})" for c in _HP
-    )
     order = lambda *by: (
         f"CAST(ROW_NUMBER() OVER (PARTITION BY search_space_id ORDER BY {', '.join(by)}, run_id, val_accuracy DESC) - 1 AS INTEGER) AS trial"
     )
@@ -235,8 +303,7 @@ def _replay() -> str:
     return f"""{_halves()},
 {_density()},
 {_elite('history', 10)},
-scored AS (SELECT d.*, CAST({gaps} AS DECIMAL(18,6)) AS distance
-  FROM dense d JOIN elite e USING (search_space_id)),
+{_near_elite('dense')},
 replay AS (SELECT * FROM (
     SELECT 'random' AS method, {row}, {order("md5(concat(run_id, ':42'))")} FROM scored
     UNION ALL SELECT 'density_ratio', {row}, {order('density DESC')} FROM scored
@@ -592,6 +659,22 @@ def oracle_sql() -> dict[str, str]:
             _elite("filled", 10),
         )
         + "SELECT * FROM elite",
+        "elite_rank": _with(_RUNS, _halves(), _elite("history", 10), _near_elite("heldout"))
+        + "SELECT search_space_id, rank, run_id, CAST(distance AS DOUBLE) AS distance FROM (SELECT *, CAST(ROW_NUMBER() OVER"
+        " (PARTITION BY search_space_id ORDER BY distance, run_id, val_accuracy DESC) AS INTEGER) AS rank FROM scored) WHERE rank <= 200",
+        "elite_draws": _with(
+            _RUNS,
+            "filled AS (SELECT run_id, search_space_id, val_accuracy, "
+            + ", ".join(f"COALESCE({c}, 0) AS {c}" for c in _HP) + " FROM runs)",
+            _elite("filled", 10),
+            _factor(),
+            _elite_draws(),
+        ),
+        "replay_generations": _with(_RUNS, _generations(3, 50))
+        + "\nUNION ALL ".join(
+            f"SELECT search_space_id, '{m}' AS method, generation, trial, run_id, CAST(val_accuracy AS DOUBLE) AS value FROM {m}_2"
+            for m in ("random", "density_ratio", "elite")
+        ),
         "regret_curves": _with(_RUNS, _replay())
         + "SELECT search_space_id, method, trial, run_id, value, best FROM curves",
         "compare_methods": _with(

@@ -592,6 +592,24 @@ def elite_profile(spark, sf):
     return srch.elite_profile(_runs(spark, sf), HP)
 
 
+@query
+def elite_rank(spark, sf):
+    history, rest = _halves(spark, sf)
+    ranked = srch.elite_rank(history, rest, HP)
+    return ranked.select("search_space_id", "rank", "run_id", F.col("distance").cast("double").alias("distance"))
+
+
+@query
+def elite_draws(spark, sf):
+    profile = written_table(srch.elite_profile(_runs(spark, sf), HP), "elite-profile")
+    return srch.elite_draws(profile, HP)
+
+
+@query
+def replay_generations(spark, sf):
+    return srch.replay_generations(_runs(spark, sf), HP)
+
+
 @query
 def regret_curves(spark, sf):
     return srch.regret_curves(srch.replay_trials(*_halves(spark, sf), HP))
