@@ -451,34 +451,12 @@ def oracle_sql() -> dict[str, str]:
         "nested_run_names": _ON_RUNS
         + "SELECT search_space_id, dataset_id, COUNT(*) AS runs, COUNT(*) AS names FROM runs GROUP BY ALL",
         "explode_split_manifest": _ON_RUNS
-        + "SELECT DISTINCT search_space_id, dataset_id FROM runs WHERE dataset_id % 10 = 0",
+        + "SELECT DISTINCT search_space_id, dataset_id FROM runs",
         "split_by_manifest": _ON_RUNS
         + f"SELECT search_space_id, {_mean('val_accuracy', 4)} AS avg_acc, COUNT(*) AS runs,"
         " CASE WHEN dataset_id % 10 = 0 THEN 'test' ELSE 'train' END AS part FROM runs GROUP BY search_space_id, part",
         "manifest_test_runs": _manifest_side("="),
         "manifest_train_runs": _manifest_side("<>"),
-        "generate_runs": "WITH n AS (SELECT i FROM range((SELECT COUNT(*) FROM lineitem)) AS r(i))\n"
-        + "SELECT concat('run_', lpad(CAST(i AS VARCHAR), 7, '0')) AS run_id, "
-        + ", ".join(
-            f"{e} AS {name}"
-            for name, e in {
-                "search_space_id": _pick(_draw("i", 0), _SPACES),
-                "dataset_id": f"concat('dataset_', {_whole(_draw('i', 1), 0, 50)})",
-                "learning_rate": _log_between(_draw("i", 2), "0.00001", "0.1"),
-                "batch_size": _pick(_draw("i", 3), _BATCHES),
-                "dropout": _between(_draw("i", 4), 0.0, 0.5),
-                "num_layers": _whole(_draw("i", 5), 1, 6),
-                "hidden_units": _pick(_draw("i", 6), _UNITS),
-                "optimizer": _pick(_draw("i", 7), _OPTIMIZERS),
-                "weight_decay": _log_between(_draw("i", 8), "0.000001", "0.01"),
-                "epochs": _whole(_draw("i", 9), 10, 200),
-                "val_accuracy": _between(_draw("i", 10), 0.5, 0.99),
-                "train_loss": _between(_draw("i", 11), 0.01, 2.0),
-                "val_loss": _between(_draw("i", 12), 0.01, 2.5),
-                "train_time_sec": _between(_draw("i", 13), 10.0, 3600.0),
-            }.items()
-        )
-        + " FROM n",
         "log_run": _with(_RUNS, _BY_SPACE)
         + "\nUNION ALL ".join(
             f"SELECT CAST(search_space_id AS VARCHAR) AS run_id, 'space_summary' AS run_name, '{kind}' AS kind,"
@@ -499,7 +477,7 @@ def oracle_sql() -> dict[str, str]:
         "drop_all_null_rows": "SELECT CAST(user_id AS VARCHAR) AS run_id,"
         " arg_max(value, (ts, value)) FILTER (event_type = 'click') AS \"metrics.click\","
         " arg_max(value, (ts, value)) FILTER (event_type = 'error') AS \"metrics.error\""
-        " FROM events WHERE value >= 180 AND event_type IN ('click', 'error') GROUP BY user_id",
+        " FROM events WHERE event_type IN ('click', 'error') GROUP BY user_id",
         "profile_table": _ON_RUNS + _profile_columns(),
         "feature_matrix": _MATRIX,
         "save_feature_matrix": _MATRIX,
@@ -701,6 +679,8 @@ def oracle_sql() -> dict[str, str]:
         )
         + "SELECT *, (warm_best - cold_best) / cold_best * 100 AS gain_pct FROM result",
         # streaming
+        "live_best": _with(_EVENT_TRIALS) + "SELECT event_type, event_id, trial, best FROM trials",
+        "live_target": _with(_EVENT_TRIALS, _to_target(0)) + "SELECT * FROM reached",
         "live_progress": "SELECT CAST(date_trunc('day', ts)::TIMESTAMP AS VARCHAR) AS window_start, event_type, COUNT(*) AS trials, MAX(value) AS best"
         " FROM events GROUP BY ALL",
     }

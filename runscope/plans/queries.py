@@ -31,6 +31,7 @@ HP = ["hp_0", "hp_1", "hp_2", "hp_3", "hp_4"]
 SETTINGS = ["learning_rate", "batch_size", "dropout", "num_layers", "hidden_units", "weight_decay", "epochs"]
 TARGET = 6
 TREES = 100
+LIVE_TARGET = 200.0
 SPACE_TREES = 50
 
 _REGISTRY: dict[str, Query] = {}
@@ -125,14 +126,14 @@ def nested_run_names(spark, sf):
 
 @query
 def explode_split_manifest(spark, sf):
-    return nested.explode_manifest(_manifest_documents(spark, sf))
+    return nested.explode_manifest(_manifest_documents(spark, sf, 1))
 
 
-def _manifest_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Every tenth dataset is held out; a document lists at most 64 ids of one space."""
+def _manifest_documents(spark: SparkSession, sf: str, every: int = 10) -> DataFrame:
+    """Every tenth dataset is held out, or every one; a document lists at most 64 ids of one space."""
     held_out = (
         _runs(spark, sf)
-        .where(F.col("dataset_id") % 10 == 0)
+        .where(F.col("dataset_id") % every == 0)
         .select("search_space_id", "dataset_id")
         .distinct()
     )
@@ -172,35 +173,30 @@ def register_runs(spark, sf):
     return spark.sql("SELECT search_space_id, COUNT(*) AS runs FROM real_runs GROUP BY search_space_id")
 
 
-@query
-def generate_runs(spark, sf):
-    return src.generate_runs(spark, _runs(spark, sf).count())
-
-
 @query
 def log_run(spark, sf):
+    """Two appends, one of them in two goes of which the second repeats the first; then the log is compacted."""
     spaces, path = summ.space_summary(_runs(spark, sf)), fresh_path(spark, "run-log")
-    run_id, name = F.col("search_space_id"), F.lit("space_summary")
-    tracking.log_run(
-        tracking.long_records(
-            spaces, run_id, name,
-            params={"search_space": F.col("search_space_id")},
-            metrics={"avg_acc": F.col("avg_acc"), "best_acc": F.col("best_acc"), "runs": F.col("runs")},
-        ),
-        path,
-    )
-    tracking.log_run(
-        tracking.long_records(spaces, run_id, name, artifacts={"table": F.lit("space_summary.parquet")}), path
+    run_id, name, ts = F.col("search_space_id"), F.lit("space_summary"), F.timestamp_seconds(F.lit(0))
+    summary = tracking.long_records(
+        spaces, run_id, name,
+        params={"search_space": F.col("search_space_id")},
+        metrics={"avg_acc": F.col("avg_acc"), "best_acc": F.col("best_acc"), "runs": F.col("runs")},
+        ts=ts,
     )
-    return tracking.read_log(spark, path).drop("ts")
+    tracking.log_run(summary.where(F.col("kind") == tracking.METRIC), path)
+    tracking.log_run(summary, path)
+    tracking.log_run(tracking.long_records(spaces, run_id, name, artifacts={"table": F.lit("space_summary.parquet")}, ts=ts), path)
+    compacted = fresh_path(spark, "run-log")
+    tracking.compact_log(spark, path, compacted)
+    return tracking.read_log(spark, compacted).drop("ts")
 
 
-def _event_log(spark: SparkSession, sf: str, least: float = 0.0) -> DataFrame:
+def _event_log(spark: SparkSession, sf: str) -> DataFrame:
     """Events as the log of runs: every user is a run, every event a metric named after its type."""
     events, path = _events(spark, sf), fresh_path(spark, "run-log")
     run, name = F.col("user_id"), F.concat(F.lit("user "), F.col("user_id"))
-    kept = events.where(F.col("value") >= least)
-    tracking.log_run(tracking.metric_records(kept, run, name, F.col("event_type"), F.col("value"), F.col("ts")), path)
+    tracking.log_run(tracking.metric_records(events, run, name, F.col("event_type"), F.col("value"), F.col("ts")), path)
     last = events.groupBy("user_id").agg(F.max("ts").alias("ts"), F.count(F.lit(1)).alias("n"))
     state = F.when(F.col("n") % 2 == 0, "FINISHED").otherwise("RUNNING")
     tracking.log_run(tracking.long_records(last, run, name, {"events": F.col("n")}, status=state, ts=F.col("ts")), path)
@@ -219,23 +215,13 @@ def search_runs(spark, sf):
 
 @query
 def drop_all_null_rows(spark, sf):
-    """Only large values are logged, so many runs have neither metric."""
-    wide = tracking.metric_columns(tracking.search_runs(_event_log(spark, sf, 180.0)).select("run_id", "metrics"))
+    """Runs that have logged neither of the two metrics go."""
+    wide = tracking.metric_columns(tracking.search_runs(_event_log(spark, sf)).select("run_id", "metrics"))
     return flt.drop_all_null_rows(
         flt.drop_empty_columns(wide, names.columns_with_prefix(wide, "metrics.")), ["metrics.click", "metrics.error"]
     ).select("run_id", "`metrics.click`", "`metrics.error`")
 
 
-@query
-def storage_inventory(spark, sf):
-    return storage.storage_inventory(spark, sf)
-
-
-@query
-def bytes_by_directory(spark, sf):
-    return storage.bytes_by_directory(storage.storage_inventory(spark, sf))
-
-
 _on_runs("profile_table", storage.profile_table)
 _on_runs("save_feature_matrix", lambda r: _saved_matrix(r))
 
@@ -628,6 +614,19 @@ def transfer_gain(spark, sf):
 # --- streaming ----------------------------------------------------------------------------------
 
 
+@query
+def live_best(spark, sf):
+    """Every trial of the stream with the running best of its method."""
+    found = live.best_of(spark, f"{sf}/events*.parquet", _events(spark, sf).schema, "event_type", "ts", "event_id", "value", LIVE_TARGET)
+    return found.select("event_type", "event_id", "trial", "best")
+
+
+@query
+def live_target(spark, sf):
+    found = live.best_of(spark, f"{sf}/events*.parquet", _events(spark, sf).schema, "event_type", "ts", "event_id", "value", LIVE_TARGET)
+    return live.reached_target(found, "event_type")
+
+
 @query
 def live_progress(spark, sf):
     schema = _events(spark, sf).schema

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from runscope.session import written_table
 from runscope.sources import schema
 
 
@@ -41,13 +42,20 @@ def flatten_documents(documents: DataFrame, skip_bad: bool = False) -> DataFrame
     number or a list, of which the first element counts. A run is named after its space, dataset,
     document and position. Documents are told apart by a hash of their content, and copies of
     one by their number, so names are unique and depend neither on files nor on partitions.
+    Only hashes and lengths are shuffled, and the text of documents that share theirs with another one.
     """
-    counted = (
-        _documents(documents)
-        .groupBy("value")
+    hashed = _documents(documents).select("value", F.xxhash64("value").alias("hash"), F.octet_length("value").alias("size"))
+    repeated = hashed.groupBy("hash", "size").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = written_table(repeated.select(F.col("hash").alias("_hash"), F.col("size").alias("_size")), "repeated-documents")
+    shared = (F.col("hash") == F.col("_hash")) & (F.col("size") == F.col("_size"))
+    copies = (
+        hashed.join(repeated, shared, "left_semi")
+        .groupBy("value", "hash")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("value", F.xxhash64("value").alias("hash"), F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+        .select("value", "hash", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))).alias("copy"))
     )
+    single = hashed.join(repeated, shared, "left_anti").select("value", "hash", F.lit(1).cast("bigint").alias("copy"))
+    counted = single.unionByName(copies)
     document = F.concat(F.lower(F.hex("hash")), F.when(F.col("copy") > 1, F.concat(F.lit("."), "copy")).otherwise(""))
     runs = (
         counted.select(document.alias("document"), _parsed(schema.NESTED_RUNS, skip_bad).alias("spaces"))

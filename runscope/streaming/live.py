@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from runscope.session import fresh_path
 
+# Executors need not have this package installed: the few functions travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 
@@ -79,3 +89,79 @@ def progress_of(
     out = fresh_path(spark, "live-progress")
     run_to_table(live_progress(records, by, ts, value, window, delay), out, fresh_path(spark, "live-checkpoint"))
     return latest(spark, out, keys, ["trials", "best"])
+
+
+# --- running best ---------------------------------------------------------------------
+
+
+def running_best(
+    stream: DataFrame, by: str, ts: str, key: str, value: str, target: float, start: float = 0.0, idle: str | None = None
+) -> DataFrame:
+    """Every trial of a stream with its number, the best value of its method so far, and the first trial that reached the target.
+
+    The state of a method is three numbers: trials, best value, first hit. They carry over from batch to batch and
+    through restarts. Within a batch trials are taken by ``ts`` and ``key``; one that arrives
+    after later ones is numbered after them. NaN and NULL are trials without a value. With ``idle``, an interval, a method
+    without trials for that long of event time ends: it gets a last row with ``ended`` and its state goes.
+    """
+    kind = dict(stream.dtypes)[key]
+    out = f"`{by}` string, `{key}` {kind}, trial bigint, value double, best double, hit bigint, ended boolean"
+    pause = None if idle is None else int(pd.Timedelta(idle).total_seconds() * 1000)
+    names = [by, key, "trial", "value", "best", "hit", "ended"]
+
+    def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        trials, best, hit = state.get if state.exists else (0, start, None)
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame([(group[0], None, trials, None, best, hit, True)], columns=names)
+            return
+        rows = pd.concat(list(frames)).sort_values([ts, key])
+        values = rows[value].to_numpy(dtype=float, na_value=np.nan)
+        so_far = np.fmax.accumulate(np.fmax(values, best))
+        number = np.arange(trials, trials + len(rows))
+        reached = np.flatnonzero((values >= target) | (start >= target))
+        first = hit if hit is not None else int(number[reached[0]]) if len(reached) else None
+        hits = [first if first is not None and n >= first else None for n in number.tolist()]
+        state.update((trials + len(rows), float(so_far[-1]), first))
+        if pause is not None:
+            last = int(rows[ts].max().timestamp() * 1000)
+            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + pause)
+        yield pd.DataFrame(
+            {by: group[0], key: rows[key].to_numpy(), "trial": number, "value": values, "best": so_far, "hit": pd.array(hits, "Int64"), "ended": False}
+        )
+
+    if idle is not None:
+        stream = stream.withWatermark(ts, "0 seconds")
+    timeout = GroupStateTimeout.NoTimeout if idle is None else GroupStateTimeout.EventTimeTimeout
+    rows = stream.select(F.col(by).cast("string").alias(by), ts, key, F.col(value).cast("double").alias(value))
+    return rows.groupBy(by).applyInPandasWithState(step, out, "trials bigint, best double, hit bigint", "append", timeout)
+
+
+def run_appended(rows: DataFrame, path: str, checkpoint: str) -> None:
+    """Process all available input of a stream that appends; a batch repeated after a failure leaves the same files."""
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = rows.writeStream.outputMode("append").foreachBatch(keep).option("checkpointLocation", checkpoint)
+    query.trigger(availableNow=True).start().awaitTermination()
+
+
+def best_of(
+    spark: SparkSession, path: str, schema: T.StructType, by: str, ts: str, key: str, value: str, target: float, start: float = 0.0
+) -> DataFrame:
+    """Stream the records below ``path`` to their end; return every trial with the running best."""
+    records = stream_records(spark, path, schema)
+    if isinstance(schema[ts].dataType, T.TimestampNTZType):
+        records = records.withColumn(ts, as_instant(ts))
+    out = fresh_path(spark, "live-best")
+    run_appended(running_best(records, by, ts, key, value, target, start), out, fresh_path(spark, "live-checkpoint"))
+    return spark.read.parquet(out).drop("batch")
+
+
+def reached_target(best: DataFrame, by: str) -> DataFrame:
+    """By method: trials, trials before the target was reached (all of them if it never was), and whether it was."""
+    trials = F.max("trial") + 1
+    return best.where(~F.col("ended")).groupBy(by).agg(
+        trials.alias("n_trials"), F.coalesce(F.min("hit"), trials).alias("trials_to_target"), F.min("hit").isNotNull().alias("reached")
+    )

@@ -1,3 +1,5 @@
+import datetime as dt
+import glob
 import json
 import os
 
@@ -5,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from runscope import session
+from runscope.session import fresh_path
 from runscope.operators import filters as flt, summaries as summ
 from runscope.sources import nested, runs as src, schema, storage, tracking
 
@@ -256,3 +259,57 @@ def test_written_table_keeps_types(spark):
     back = session.written_table(df, "types")
     assert back.dtypes == df.dtypes and back.collect() == df.collect()
     assert isinstance(back.schema["ts"].dataType, T.TimestampNTZType)
+
+
+def log_records(spark, runs):
+    rows = [(str(r), f"run {r}", "metric", f"k{k}", None, float(r * k), dt.datetime(2024, 1, 1, k)) for r in runs for k in range(5)]
+    rows += [(str(r), None, "param", "a:b", "1:-", None, None) for r in runs]
+    return spark.createDataFrame(rows, schema.RUN_LOG)
+
+
+def logged(spark, path):
+    return sorted(map(str, tracking.read_log(spark, path).collect()))
+
+
+def test_a_repeated_append_changes_nothing(spark):
+    path, first, second = fresh_path(spark, "log"), log_records(spark, range(40)), log_records(spark, range(30, 60))
+    tracking.log_run(first, path)
+    once = logged(spark, path)
+    assert len(once) == 240
+    tracking.log_run(first.unionByName(first), path)
+    assert logged(spark, path) == once
+    tracking.log_run(second, path)
+    assert logged(spark, path) == sorted(map(str, log_records(spark, range(60)).collect()))
+
+
+def test_a_half_failed_append_is_completed(spark):
+    path, records = fresh_path(spark, "log"), log_records(spark, range(50))
+    # What an append leaves that was stopped between the files of its partitions.
+    some = tracking.with_record_id(records).where("part % 3 = 0")
+    some.write.partitionBy("part").parquet(path)
+    tracking.log_run(records, path)
+    assert logged(spark, path) == sorted(map(str, records.collect()))
+
+
+def test_compaction_keeps_every_record_once(spark):
+    path, target = fresh_path(spark, "log"), fresh_path(spark, "log")
+    for k in range(5):
+        tracking.log_run(log_records(spark, range(10 * k, 10 * k + 12)), path)
+    # A copy that came by another way.
+    tracking.with_record_id(log_records(spark, range(4))).write.mode("append").partitionBy("part").parquet(path)
+    tracking.compact_log(spark, path, target)
+    assert logged(spark, target) == sorted(map(str, log_records(spark, range(52)).collect()))
+    files = lambda p: len(glob.glob(f"{p}/part=*/*.parquet"))
+    assert files(target) < files(path)
+    tracking.log_run(log_records(spark, range(52)), target)
+    assert len(logged(spark, target)) == 52 * 6
+
+
+def test_too_many_metrics_need_names(spark, monkeypatch):
+    monkeypatch.setattr(tracking, "MOST_COLUMNS", 4)
+    path = fresh_path(spark, "log")
+    tracking.log_run(log_records(spark, range(3)), path)
+    found = tracking.search_runs(tracking.read_log(spark, path))
+    with pytest.raises(ValueError):
+        tracking.metric_columns(found)
+    assert "metrics.k1" in tracking.metric_columns(found, ["k1"]).columns
