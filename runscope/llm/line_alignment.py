@@ -306,10 +306,12 @@ def common_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     first = documents.select(F.col("document").alias("_a"), F.col("hashes").alias("a"))
     second = documents.select(F.col("document").alias("_b"), F.col("hashes").alias("b"), "words")
-    # Later documents are dealt by their number for each earlier one, which then travels once to every group.
-    many = pairs.groupBy("earlier").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("earlier", "_earlier")
-    dealt = pairs.join(many, F.col("earlier") == F.col("_earlier")).select(
-        "later", "earlier", F.pmod(F.xxhash64("later"), F.ceil(F.col("_n") / TOGETHER)).alias("_part")
+    # Later documents are dealt by their number for each earlier one, which then travels once to every group. Those with few are one group.
+    many = pairs.groupBy("earlier").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > TOGETHER)
+    many = written_table(many.withColumnRenamed("earlier", "_earlier"), "much-shared-documents")
+    parts = F.coalesce(F.ceil(F.col("_n") / TOGETHER), F.lit(1))
+    dealt = pairs.join(many, F.col("earlier") == F.col("_earlier"), "left").select(
+        "later", "earlier", F.pmod(F.xxhash64("later"), parts).alias("_part")
     )
     groups = (
         dealt.join(second, F.col("later") == F.col("_b"))
