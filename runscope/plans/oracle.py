@@ -214,12 +214,12 @@ dense{tag} AS (SELECT h.*, CAST({terms} AS DECIMAL(18,6)) AS density FROM {heldo
   {joins})"""
 
 
-def _elite(source: str, percent: int, tag: str = "") -> str:
+def _elite(source: str, percent: int, tag: str = "", digits: int = 10) -> str:
     means = ", ".join(f"{_mean(c, 6)} AS mean_{c}" for c in _HP)
-    deviations = ", ".join(f"ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 6) AS std_{c}" for c in _HP)
+    deviations = ", ".join(f"ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), {digits}) AS std_{c}" for c in _HP)
     pairs = [(a, b) for i, a in enumerate(_HP) for b in _HP[i + 1 :]]
     covariances = ", ".join(
-        f"ROUND(COVAR_SAMP(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS cov_{a}_{b}" for a, b in pairs
+        f"ROUND(COVAR_SAMP(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), {digits}) AS cov_{a}_{b}" for a, b in pairs
     )
     return f"""{_good(source, percent, f'elite_marked{tag}')},
 elite{tag} AS (SELECT search_space_id, COUNT(*) AS n_elite, {means}, {deviations}, {covariances}
@@ -634,7 +634,7 @@ def oracle_sql() -> dict[str, str]:
             _RUNS,
             "filled AS (SELECT run_id, search_space_id, val_accuracy, "
             + ", ".join(f"COALESCE({c}, 0) AS {c}" for c in _HP) + " FROM runs)",
-            _elite("filled", 10),
+            _elite("filled", 10, digits=6),
         )
         + "SELECT * FROM elite",
         "elite_rank": _with(_RUNS, _halves(), _elite("history", 10), _near_elite("heldout"))

@@ -587,7 +587,7 @@ def elite_rank(spark, sf):
 
 @query
 def elite_draws(spark, sf):
-    profile = written_table(srch.elite_profile(_runs(spark, sf), HP), "elite-profile")
+    profile = written_table(srch.elite_profile(_runs(spark, sf), HP, digits=srch.DIGITS), "elite-profile")
     return srch.elite_draws(profile, HP)
 
 
