@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -156,3 +157,45 @@ def test_transfer_gain_with_a_pool_that_hits(spark):
         runs = runs.withColumn(c, F.lit(0).cast(t))
     row = srch.transfer_gain(runs, ["hp_0"], target=2, n_trials=1).first()
     assert row["warm_best"] == 0.9 and row["n_trials"] == 1
+
+
+def test_elite_distance_is_the_mahalanobis_distance(spark):
+    rng = np.random.default_rng(4)
+    wide = rng.uniform(size=(60, 1))
+    best = np.clip(np.hstack([wide, wide * 0.7 + rng.normal(size=(60, 1)) * 0.05, np.full((60, 1), 0.25)]), 0, 1)
+    rest = rng.uniform(size=(200, 3))
+    rows = [(1, f"b{i}", 0.9, *map(float, x)) for i, x in enumerate(best)] + [(1, f"r{i}", 0.1, *map(float, x)) for i, x in enumerate(rest)]
+    rows.append((2, "single", 0.5, 0.5, 0.5, 0.5))
+    hp = HP[:3]
+    history = spark.createDataFrame(rows, "search_space_id int, run_id string, val_accuracy double, " + ", ".join(f"{c} double" for c in hp))
+    profile = srch.elite_profile(history, hp, percent=20, digits=12)
+    found = {r["run_id"]: float(r["distance"]) for r in srch.elite_distance(history, profile, hp).collect()}
+    # One column of the best runs doesn't vary: the ridge keeps the matrix regular.
+    inverse = np.linalg.inv(np.cov(best.T) + srch.RIDGE * np.eye(3))
+    gaps = np.vstack([best, rest]) - best.mean(axis=0)
+    want = np.einsum("ij,jk,ik->i", gaps, inverse, gaps)
+    assert np.allclose([found[r[1]] for r in rows[:-1]], want, rtol=1e-5, atol=1e-3) and found["single"] == 0.0
+    plain = (gaps**2).sum(axis=1)
+    assert list(np.argsort(want)) != list(np.argsort(plain))
+
+
+def test_draws_have_the_means_and_covariances_of_the_best(spark):
+    rows = [(1, 500, 0.5, 0.4, 0.1, 0.1, 0.008)]
+    profile = spark.createDataFrame(rows, "search_space_id int, n_elite int, mean_hp_0 double, mean_hp_1 double, std_hp_0 double, std_hp_1 double, cov_hp_0_hp_1 double")
+    drawn = np.array([tuple(r)[2:] for r in srch.elite_draws(profile, HP[:2], 4_000).collect()])
+    assert np.allclose(drawn.mean(axis=0), [0.5, 0.4], atol=0.01)
+    assert np.allclose(np.cov(drawn.T), [[0.0101, 0.008], [0.008, 0.0101]], atol=0.001)
+
+
+def test_generations_learn_from_their_own_trials(runs):
+    found = srch.replay_generations(runs, HP, generations=3, size=20).collect()
+    by_method = {}
+    for r in found:
+        by_method.setdefault((r["search_space_id"], r["method"]), []).append(r)
+    for (space, method), trials in by_method.items():
+        trials.sort(key=lambda r: r["trial"])
+        assert [r["trial"] for r in trials] == list(range(60)) and [r["generation"] for r in trials] == [t // 20 for t in range(60)]
+        assert len({r["run_id"] for r in trials}) == 60
+        assert [r["run_id"] for r in trials[:20]] == [r["run_id"] for r in by_method[space, "random"][:20]]
+    mean = lambda m, g: np.mean([r["value"] for r in found if r["method"] == m and r["generation"] == g])
+    assert mean("elite", 2) > mean("random", 2) + 0.03 and mean("density_ratio", 2) > mean("random", 2) + 0.03
