@@ -1,7 +1,8 @@
 """Operator 13: how many tokens a tokenizer makes of every text, without its tokens.
 
-Tasks hand the library pieces of texts in batches of about the same number of bytes and return
-lengths only. A text longer than a piece is cut where no token can cross. The splitting pattern of the
+Texts are cut into words with the white space in front of them, where no token can cross, so a text has the tokens
+of its words. Tasks hand the library the words they have not met yet, in batches of about the same number of bytes, and return
+lengths only; a worker keeps the counts of words up to a fixed number of bytes. A word longer than a piece is cut where no token can cross. The splitting pattern of the
 tokenizer never takes a white space character behind another character into the same token, so
 a cut in front of white space that follows anything else is always safe: what stands left
 of it doesn't end in white space, and what stands right of it looks at nothing before. Texts without blanks are cut
@@ -34,6 +35,10 @@ LIMIT = 1024
 #: Characters after which a text is cut at the next safe place, and bytes that go to the library at once.
 PIECE = 16_384
 BATCH = 1 << 20
+#: Bytes of texts whose new words go to the library together, and characters of words whose counts a worker keeps.
+GROUP, KEPT = 4 << 20, 16 << 20
+#: Python takes four control characters for white space that the tokenizer's pattern does not.
+_WORD = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|\s+")
 
 # Fixed places: white space after anything else; scripts whose letters no version of Unicode has changed.
 _SAFE = re.compile(
@@ -70,6 +75,43 @@ def _batches(texts: list[str], size: int, batch: int) -> Iterator[tuple[list[int
         yield owners, parts
 
 
+def _groups(texts: list[bytes], size: int) -> Iterator[list[str]]:
+    """Texts in groups of about ``size`` bytes."""
+    group, total = [], 0
+    for raw in texts:
+        group.append(raw.decode("utf-8", "replace"))
+        total += len(raw)
+        if total >= size:
+            yield group
+            group, total = [], 0
+    if group:
+        yield group
+
+
+class WordCounts(dict):
+    """Tokens of the words met so far; forgets them all beyond ``kept`` characters."""
+
+    def __init__(self, encode, kept: int = KEPT):
+        super().__init__()
+        self._encode, self._kept, self._size = encode, kept, 0
+
+    def of_texts(self, texts: list[str], piece: int, batch: int) -> Iterator[int]:
+        """How many tokens each text has."""
+        if self._size > self._kept:
+            self.clear()
+            self._size = 0
+        words = [_WORD.findall(text) for text in texts]
+        new = list(set().union(*words).difference(self))
+        self.update(dict.fromkeys(new, 0))
+        for owners, parts in _batches(new, piece, batch):
+            for owner, found in zip(owners, self._encode(parts, add_special_tokens=False)):
+                self[new[owner]] += len(found)
+        # A word takes some hundred bytes beside its characters.
+        self._size += sum(map(len, new)) + 16 * len(new)
+        for listed in words:
+            yield sum(map(self.__getitem__, listed))
+
+
 def tokenizer_file(spark: SparkSession, path: str = TOKENIZER) -> Broadcast:
     """The tokenizer's definition, for all workers; ``path`` is a file or a name that public_tokenizers knows."""
     with open(path if os.path.exists(path) else public_tokenizers.path(path), encoding="utf-8") as file:
@@ -87,19 +129,24 @@ def _tokenizer(shared: Broadcast) -> tokenizers.Tokenizer:
     return value["tokenizer"]
 
 
+def _counts(shared: Broadcast, kept: int) -> WordCounts:
+    """The worker's word counts."""
+    value = shared.value
+    if "counts" not in value:
+        value["counts"] = WordCounts(_tokenizer(shared).encode_batch_fast, kept)
+    return value["counts"]
+
+
 def count_tokens(docs: DataFrame, shared: Broadcast, limit: int = LIMIT, piece: int = PIECE, batch: int = BATCH) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens, and over_limit: more than ``limit`` tokens."""
     schema = "doc_id bigint, n_bytes bigint, n_tokens bigint"
     out = arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _tokenizer(shared).encode_batch_fast
+        known = _counts(shared, KEPT)
         for rows in batches:
             raw = rows.column("_text").to_pylist()
-            counts = [0] * len(raw)
-            for owners, parts in _batches([t.decode("utf-8", "replace") for t in raw], piece, batch):
-                for owner, found in zip(owners, encode(parts, add_special_tokens=False)):
-                    counts[owner] += len(found)
+            counts = [n for group in _groups(raw, GROUP) for n in known.of_texts(group, piece, batch)]
             yield arrow_batch([rows.column("doc_id"), list(map(len, raw)), counts], out)
 
     counted = text_rows(docs, "doc_id").mapInArrow(run, schema)

@@ -34,6 +34,22 @@ def test_pieces_have_the_tokens_of_the_text(library):
         assert sum(counted(library, p) for p in parts) == counted(library, text)
 
 
+def test_words_have_the_tokens_of_the_text_and_are_encoded_once(library):
+    rng, asked = random.Random(3), []
+
+    def encode(parts, add_special_tokens):
+        asked.extend(parts)
+        return library.encode_batch_fast(parts, add_special_tokens=add_special_tokens)
+
+    known = tc.WordCounts(encode)
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randrange(70))) for _ in range(4000)]
+    assert list(known.of_texts(texts, 50, 2_000)) == [counted(library, t) for t in texts]
+    before = len(asked)
+    assert list(known.of_texts(texts[:100], 50, 2_000)) == [counted(library, t) for t in texts[:100]] and len(asked) == before
+    small = tc.WordCounts(encode, kept=10)
+    assert [n for t in texts[:300] for n in small.of_texts([t], 50, 2_000)] == [counted(library, t) for t in texts[:300]] and len(small) < 70
+
+
 def test_batches_have_a_bounded_size_and_lose_nothing():
     rng = random.Random(2)
     texts = ["".join(rng.choice(PARTS) + " x" for _ in range(rng.randrange(400))) for _ in range(50)]
