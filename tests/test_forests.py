@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from runscope.functions import trees as tr
 from runscope.operators import forests as fo, surrogate as surr
 from runscope.plans.queries import HP
+from runscope.session import written_table
 
 COLUMNS = ["a", "b", "c"]
 
@@ -139,3 +140,31 @@ def test_deep_surrogates_are_better(runs):
         {r["part"]: r["r2"] for r in surr.surrogate_quality(runs, HP, trees=10, depth=d).collect()} for d in (5, None)
     ]
     assert found[1]["test"] > found[0]["test"] and found[1]["test"] > 0.99
+
+
+def test_trees_are_finished_some_at_a_time(table):
+    """However many trees: copies of the rows for a bounded number of them are on their way at once."""
+    assert fo._at_once(36_000_000, 5, 100, fo.WAVE_VALUES) == 11 and fo._at_once(10**12, 5, 100, fo.WAVE_VALUES, 10) == 10
+    once, waves = (
+        fo.fit_forests(table, COLUMNS, "y", by=["g"], trees=6, local_values=300, block_values=600, together=2, wave_values=w)
+        for w in (fo.WAVE_VALUES, 1)
+    )
+    of = lambda m: {(r["grp"], r["tree"], r["node"]): tuple(r["threshold"]) for r in m.subtrees.collect()}
+    assert of(once) == of(waves) and {t for _, t, _ in of(waves)} == set(range(6))
+    by_row = lambda p: {(r["g"], r["k"]): r["prediction"] for r in p.collect()}
+    walked = by_row(fo.predict_forests(waves, table, block_values=300))
+    routed = by_row(fo.predict_forests(waves, table, block_values=300, walk_nodes=0, wave_values=1))
+    assert walked == pytest.approx(routed)
+
+
+def test_written_tables_restore_the_cleanup_setting(spark, table):
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    written = written_table(table.repartition(3, "k"), "test")
+    assert written.count() == table.count()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+
+
+@pytest.mark.parametrize("values", [np.arange(5.0), np.zeros(0), np.array([[1, 2], [3, 4]], dtype=np.int64), np.array([np.nan, -0.0])])
+def test_packed_columns_come_back(values):
+    back = fo._unpack(fo._pack(values), values.dtype.type)
+    assert np.array_equal(back, values.ravel(), equal_nan=values.dtype.kind == "f")
