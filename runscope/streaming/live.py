@@ -91,6 +91,17 @@ def progress_of(
     return latest(spark, out, keys, ["trials", "best"])
 
 
+#: Trials of a method that are numbered and handed on at once.
+SLICE = 100_000
+
+
+def _in_order(keys: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Places of the trials by time, then key; rows of the same time and key as they came."""
+    if keys.dtype.kind in "iufM" and times.dtype.kind == "M":
+        return np.lexsort((keys, times))
+    return pd.DataFrame({"k": keys, "t": times}).sort_values(["t", "k"], kind="stable").index.to_numpy()
+
+
 # --- running best ---------------------------------------------------------------------
 
 
@@ -115,20 +126,30 @@ def running_best(
             state.remove()
             yield pd.DataFrame([(group[0], None, trials, None, best, hit, True)], columns=names)
             return
-        rows = pd.concat(list(frames)).sort_values([ts, key])
-        values = rows[value].to_numpy(dtype=float, na_value=np.nan)
-        so_far = np.fmax.accumulate(np.fmax(values, best))
-        number = np.arange(trials, trials + len(rows))
-        reached = np.flatnonzero((values >= target) | (start >= target))
-        first = hit if hit is not None else int(number[reached[0]]) if len(reached) else None
-        hits = [first if first is not None and n >= first else None for n in number.tolist()]
-        state.update((trials + len(rows), float(so_far[-1]), first))
-        if pause is not None:
-            last = int(rows[ts].max().timestamp() * 1000)
-            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + pause)
-        yield pd.DataFrame(
-            {by: group[0], key: rows[key].to_numpy(), "trial": number, "value": values, "best": so_far, "hit": pd.array(hits, "Int64"), "ended": False}
-        )
+        # Three plain arrays and an order are held; names and results exist for one slice at a time.
+        parts = [(f[ts].to_numpy(), f[key].to_numpy(), f[value].to_numpy(dtype=float, na_value=np.nan)) for f in frames]
+        times, keys, values = (np.concatenate(c) for c in zip(*parts))
+        del parts
+        order, size, last = _in_order(keys, times), len(times), pd.Series(times).max()
+        del times
+        for at in range(0, size, SLICE):
+            taken = order[at : at + SLICE]
+            found = values[taken]
+            so_far = np.fmax.accumulate(np.fmax(found, best))
+            number = np.arange(trials, trials + len(taken))
+            reached = np.flatnonzero((found >= target) | (start >= target))
+            if hit is None and len(reached):
+                hit = int(number[reached[0]])
+            hits = pd.array(np.full(len(taken), -1 if hit is None else hit), "Int64")
+            hits[number < hit if hit is not None else np.full(len(taken), True)] = pd.NA
+            trials, best = trials + len(taken), float(so_far[-1])
+            if at + SLICE >= size:
+                state.update((trials, best, hit))
+                if pause is not None:
+                    state.setTimeoutTimestamp(max(int(last.timestamp() * 1000), state.getCurrentWatermarkMs()) + pause)
+            yield pd.DataFrame(
+                {by: group[0], key: keys[taken], "trial": number, "value": found, "best": so_far, "hit": hits, "ended": False}
+            )
 
     if idle is not None:
         stream = stream.withWatermark(ts, "0 seconds")

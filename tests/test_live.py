@@ -2,6 +2,7 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -125,6 +126,21 @@ def test_running_best_continues_after_a_restart(spark, tmp_path):
     assert step() == expected(seen, 19.0)
 
 
+def test_a_method_is_handed_on_in_slices(spark, tmp_path, monkeypatch):
+    df, path, out = trials(spark, 300, 0), str(tmp_path / "in"), fresh_path(spark, "best")
+    df.write.parquet(path)
+    monkeypatch.setattr(live, "SLICE", 7)
+    source = live.stream_records(spark, path, TRIALS).withColumn("ts", live.as_instant("ts"))
+    live.run_appended(live.running_best(source, "method", "ts", "id", "value", 18.0), out, fresh_path(spark, "check"))
+    assert found(spark.read.parquet(out)) == expected(df, 18.0)
+
+
+def test_order_by_time_and_key():
+    times = np.array(["2024-01-02", "2024-01-01", "NaT", "2024-01-01", "2024-01-01"], dtype="datetime64[ns]")
+    assert live._in_order(np.array([1, 5, 0, 3, 5]), times).tolist() == [3, 1, 4, 0, 2]
+    assert live._in_order(np.array(["1", "5", "0", "3", "5"], dtype=object), times).tolist() == [3, 1, 4, 0, 2]
+
+
 def test_a_method_without_trials_ends(spark, tmp_path):
     path, out, check = str(tmp_path / "in"), fresh_path(spark, "best"), fresh_path(spark, "check")
 
