@@ -21,7 +21,7 @@ from runscope.operators import (
     summaries as summ,
     surrogate as surr,
 )
-from runscope.session import fresh_path, written_table
+from runscope.session import fresh_path, shuffles_removed, written_table
 from runscope.sources import nested, runs as src, storage, tracking
 from runscope.streaming import live
 
@@ -105,7 +105,8 @@ def _nested_files(spark: SparkSession, sf: str) -> str:
     runs, path = _runs(spark, sf), fresh_path(spark, "nested-json")
     digits = max(1, math.ceil(math.log(max(1, runs.count()) / 64, 16)))
     dealt = runs.withColumn("document", F.substring(F.md5("run_id"), 1, digits))
-    nested.nest_runs(dealt, "document", HP, ["run_id"]).select("value").write.text(path)
+    with shuffles_removed(spark):
+        nested.nest_runs(dealt, "document", HP, ["run_id"]).select("value").write.text(path)
     return path
 
 

@@ -100,8 +100,12 @@ def widen(runs: DataFrame, width: int | None = None) -> DataFrame:
 def flatten_nested_runs(
     spark: SparkSession, path: str, width: int | None = None, whole_files: bool = False, skip_bad: bool = False
 ) -> DataFrame:
-    """All runs of the documents, with a column per configuration value."""
-    return widen(flatten_documents(read_documents(spark, path, whole_files), skip_bad), width)
+    """All runs of the documents, with a column per configuration value.
+
+    Without ``width`` the runs are written first, so that the documents are parsed once.
+    """
+    runs = flatten_documents(read_documents(spark, path, whole_files), skip_bad)
+    return widen(runs if width is not None else written_table(runs, "flat-runs"), width)
 
 
 def explode_manifest(documents: DataFrame, skip_bad: bool = False) -> DataFrame:
@@ -125,8 +129,10 @@ def nest_runs(runs: DataFrame, document: str, hp_columns: list[str], order: list
     """The inverse of :func:`flatten_documents`, used to build its input.
 
     Runs with the same value of ``document`` share a JSON document, so the caller
-    bounds its size by that value.
+    bounds its size by that value. They meet once, before they are nested: the lists are
+    wider than the runs and are not shuffled.
     """
+    runs = runs.select(document, "search_space_id", "dataset_id", *order, *hp_columns, "val_accuracy").repartition(document)
     entry = F.struct(*order, F.array(*hp_columns).alias("x"), F.array("val_accuracy").alias("y"))
     lists = (
         runs.groupBy(document, "search_space_id", "dataset_id")

@@ -313,3 +313,23 @@ def test_too_many_metrics_need_names(spark, monkeypatch):
     with pytest.raises(ValueError):
         tracking.metric_columns(found)
     assert "metrics.k1" in tracking.metric_columns(found, ["k1"]).columns
+
+
+def test_runs_are_shuffled_once_to_be_nested(spark, runs):
+    dealt = runs.withColumn("document", F.substring(F.md5("run_id"), 1, 2))
+    documents = nested.nest_runs(dealt, "document", ["hp_0", "hp_1"], ["run_id"])
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    back = nested.flatten_documents(documents.select("value"))
+    assert back.count() == runs.count() and back.agg(F.count_distinct("run_id")).first()[0] == back.count()
+
+
+def test_documents_are_parsed_once_for_their_width(spark, tmp_path, monkeypatch):
+    written, keep = [], nested.written_table
+    monkeypatch.setattr(nested, "written_table", lambda df, label: written.append(label) or keep(df, label))
+    path = str(tmp_path / "runs.jsonl")
+    with open(path, "w") as file:
+        file.write(json.dumps({"4": {"7": {"X": [[0.5, 1.0], [0.25]], "y": [[0.9], [0.8]]}}}) + "\n")
+    found = nested.flatten_nested_runs(spark, path)
+    assert "flat-runs" in written and found.columns[-2:] == ["hp_0", "hp_1"]
+    assert sorted((r["hp_0"], r["hp_1"]) for r in found.collect()) == [(0.25, None), (0.5, 1.0)]
