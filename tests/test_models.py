@@ -187,6 +187,14 @@ def test_draws_have_the_means_and_covariances_of_the_best(spark):
     assert np.allclose(np.cov(drawn.T), [[0.0101, 0.008], [0.008, 0.0101]], atol=0.001)
 
 
+def test_a_generation_scores_the_pool_once(runs, monkeypatch):
+    written, keep = [], srch.written_table
+    monkeypatch.setattr(srch, "written_table", lambda df, label: written.append((label, df.columns)) or keep(df, label))
+    assert srch.replay_generations(runs, HP, generations=2, size=5).count() > 0
+    scored = [c for label, c in written if {"density", "distance"} & set(c)]
+    assert len(scored) == 1 and "_digest" not in scored[0]
+
+
 def test_generations_learn_from_their_own_trials(runs):
     found = srch.replay_generations(runs, HP, generations=3, size=20).collect()
     by_method = {}
