@@ -28,7 +28,7 @@ import sentencepiece
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from runscope.llm.piece_lattice import BLANK, Found, Lattices, changed, decoded, decoded_bytes
+from runscope.llm.piece_lattice import BLANK, Change, Found, Lattices, changed, decoded, decoded_bytes
 from runscope.llm.texts import arrow_batch, arrow_schema, text_rows
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -186,23 +186,33 @@ def _digests(found: Found) -> list[str]:
     return digests
 
 
-def summarise(docs: DataFrame, shared: Broadcast, n: int = N_BEST) -> DataFrame:
-    """What the n best segmentations of every text are, without the ids themselves.
+def digests(encoded: DataFrame) -> DataFrame:
+    """What ``encode_n_best`` has found, as counts, scores and hashes of its ids.
 
     ids_sha256 is the hash of the best ids as 32-bit little-endian integers, scores lists the
     scores best first, round_trip tells whether the ids decode to the text. segmentations_sha256 has the hashes
     of the ids of all segmentations, in the order of the scores.
     """
-
-    def measure(text: str, found: Found, table: list[bytes]) -> tuple:
-        scores, digests = [found.score, *(score for score, _ in found.others)], _digests(found)
-        return len(found.ids) // 4, len(scores), found.score, scores, digests[0], _same(text, found, table), digests
-
-    return _map(
-        docs,
-        shared,
-        n,
-        measure,
-        "n_ids bigint, n_found int, score double, scores array<double>, ids_sha256 string, round_trip boolean, "
-        "segmentations_sha256 array<string>",
+    schema = (
+        "doc_id bigint, n_ids bigint, n_found int, score double, scores array<double>, ids_sha256 string, round_trip boolean, "
+        "segmentations_sha256 array<string>"
     )
+    out = arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            columns = (batch.column("ids"), *(batch.column(c).to_pylist() for c in ("score", "others", "round_trip")))
+            for ids, score, others, round_trip in zip(*columns):
+                packed = ids.values.to_numpy().tobytes()
+                rest = [(o["score"], [Change(c["at"], c["drop"], array("i", c["ids"]).tobytes()) for c in o["changes"]]) for o in others]
+                hashes, scores = _digests(Found(score, packed, rest)), [score, *(s for s, _ in rest)]
+                found.append((len(packed) // 4, len(scores), score, scores, hashes[0], round_trip, hashes))
+            yield arrow_batch([batch.column("doc_id"), *(zip(*found) if found else [()] * (len(out) - 1))], out)
+
+    return encoded.select("doc_id", "ids", "score", "others", "round_trip").mapInArrow(run, schema)
+
+
+def summarise(docs: DataFrame, shared: Broadcast, n: int = N_BEST) -> DataFrame:
+    """``digests`` of the n best segmentations of every text, taken from the ids that ``encode_n_best`` returns."""
+    return digests(encode_n_best(docs, shared, n))

@@ -7,6 +7,7 @@ from array import array
 from re import _constants as rc, _parser as rp
 
 from conftest import words
+from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
@@ -261,6 +262,17 @@ def test_all_segmentations_are_hashed_and_decoded(spark, frame, odd_rows):
         assert r["ids_sha256"] == r["segmentations_sha256"][0]
 
 
+def test_digests_are_those_of_the_ids_returned(spark, frame):
+    shared = sp.vocabulary(spark)
+    encoded = sp.encode_n_best(frame([(1, "some words of a text"), (2, None)]), shared)
+    other = encoded.withColumn("ids", F.transform("ids", lambda i: i + 1))
+    for rows in (encoded, other):
+        full = {r["doc_id"]: [s["ids"] for s in r["segmentations"]] for r in sp.with_all_ids(rows).collect()}
+        for r in sp.digests(rows).collect():
+            assert r["segmentations_sha256"] == [hashlib.sha256(array("i", ids).tobytes()).hexdigest() for ids in full[r["doc_id"]]]
+            assert (r["n_ids"], r["n_found"]) == (len(full[r["doc_id"]][0]), len(full[r["doc_id"]]))
+
+
 def test_the_best_segmentation_is_not_listed_again_among_equal_ones():
     pieces = {BLANK: -1, "a": -1, "b": -1, "c": -1, "d": -1, "ca": -3, "ac": -2, BLANK + "dc": -1, "dcac": -3, "aca": -3, "caca": -2}
     lattices = Lattices({p: (k, float(s)) for k, (p, s) in enumerate(pieces.items())}, list(range(100, 356)))
